@@ -254,3 +254,11 @@ def label_encoded(df: DataFrame, column: str, codes: DataFrame) -> DataFrame:
 def first_by_group(df: DataFrame, group: str, order: list[Column], k: int) -> DataFrame:
     w = Window.partitionBy(group).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def price_score(probability: Column, price: Column) -> Column:
+    """Composite of a purchase probability and a price."""
+    return (
+        (F.sin(probability) + 1) * F.exp(probability - 1) * F.log1p(price) * F.cos(price / 100)
+        * (1 + F.tan(probability * F.pi() / 4))
+    )

@@ -174,7 +174,7 @@ def hybrid(lists: list[DataFrame], items: DataFrame, k: int, weights: list[float
     for recs, w in zip(lists, weights):
         part = recs.select("user_idx", "item_idx", (F.col("relevance") * (w / total)).alias("relevance"))
         rows = part if rows is None else rows.unionByName(part)
-    sums = rows.groupBy("user_idx", "item_idx").agg(F.round(F.sum("relevance"), 9).alias("relevance"))
+    sums = rows.groupBy("user_idx", "item_idx").agg(F.round(F.sum("relevance"), 11).alias("relevance"))
     joined = lookup(sums, items, "item_idx")
     return topk_per_user(joined, k)
 
@@ -300,7 +300,7 @@ def graph_embeddings(log: DataFrame, users: DataFrame, items: DataFrame, numeric
     return propagate(nodes, reversed_too(e) if symmetric else e, [*numeric_users, *numeric_items, "bias"], hops)
 
 
-def graph_revenue(log: DataFrame, users: DataFrame, items: DataFrame, numeric_users: list[str], numeric_items: list[str], k: int, hops: int = 2, filter_seen: bool = True) -> DataFrame:
+def graph_revenue(log: DataFrame, users: DataFrame, items: DataFrame, numeric_users: list[str], numeric_items: list[str], k: int, hops: int = 2, filter_seen: bool = True, digits: int = 9) -> DataFrame:
     """Dot product of the propagated user and item features times the item price."""
     emb = graph_embeddings(log, users, items, numeric_users, numeric_items, hops)
     columns = [*numeric_users, *numeric_items, "bias"]
@@ -310,4 +310,4 @@ def graph_revenue(log: DataFrame, users: DataFrame, items: DataFrame, numeric_us
     priced = emb.join(it, "node").join(items.select("item_idx", "price"), "item_idx")
     targets = priced.select("item_idx", vectors.scaled("vec", F.coalesce("price", F.lit(1.0))).alias("vec"))
     seen = log.select("user_idx", "item_idx") if filter_seen else None
-    return vector_topk(queries, targets, k, "dot", seen).withColumnRenamed("score", "relevance")
+    return vector_topk(queries, targets, k, "dot", seen, digits=digits).withColumnRenamed("score", "relevance")
