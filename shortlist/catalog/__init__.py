@@ -4,7 +4,7 @@ import importlib
 
 from shortlist.catalog.base import QUERIES, SQL
 
-MODULES = ("tables_and_joins", "sampling", "aggregates", "feature_tables", "outcomes", "recommenders")
+MODULES = ("tables_and_joins", "sampling", "aggregates", "feature_tables", "outcomes", "recommenders", "trained")
 for _name in MODULES:
     importlib.import_module(f"shortlist.catalog.{_name}")
 

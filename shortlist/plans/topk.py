@@ -113,16 +113,22 @@ def _deep_topk(users: DataFrame, scored: DataFrame, log: DataFrame, k: int, bloc
     return topk_per_user(left.select("user_idx", "item_idx", "relevance"), k)
 
 
-def prefix_rows(depths: DataFrame, scored_items: DataFrame, block: int = 64) -> DataFrame:
-    """The first ``depth`` items of the global order for each user (columns user_idx, depth).
+def prefix_rows(depths: DataFrame, scored_items: DataFrame) -> DataFrame:
+    """The first ``depth`` items of the global order for each user (columns user_idx, depth)."""
+    scored = scored_items.select("item_idx", rounded().alias("relevance"))
+    return ranked_prefix(depths, global_row_number(scored, best_first(), "rank"))
+
 
+def ranked_prefix(depths: DataFrame, ranked: DataFrame, by: list[str] | None = None, block: int = 64) -> DataFrame:
+    """The first ``depth`` rows of ``ranked`` (item_idx, relevance, rank) for each user.
+
+    With ``by``, users and ranked rows carry a class, and a user reads the list of the own class.
     Ranks are grouped into small blocks; the first blocks are wanted by every user, so both sides
     carry a salt.
     """
-    scored = scored_items.select("item_idx", rounded().alias("relevance"))
-    ranked = global_row_number(scored, best_first(), "rank")
+    by = by or []
     blocks = (
-        ranked.groupBy(F.floor((F.col("rank") - 1) / block).alias("_block"))
+        ranked.groupBy(*by, F.floor((F.col("rank") - 1) / block).alias("_block"))
         .agg(F.collect_list(F.struct("rank", "item_idx", "relevance")).alias("_rows"))  # `block` rows each
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(PREFIX_SALT - 1))))
     )
@@ -130,13 +136,12 @@ def prefix_rows(depths: DataFrame, scored_items: DataFrame, block: int = 64) ->
     wide = 4_096  # a user with a long history is first cut into ranges of blocks
     wanted = (
         depths.filter(F.col("depth") > 0)
-        .select("user_idx", "depth", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / wide))).alias("_range"))
+        .select("user_idx", "depth", *by, F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / wide))).alias("_range"))
         .select(
-            "user_idx",
-            "depth",
+            "user_idx", "depth", *by,
             F.explode(F.sequence(F.col("_range") * wide, F.least(last, (F.col("_range") + 1) * wide - 1))).alias("_block"),
         )
         .withColumn("_salt", F.pmod(F.xxhash64("user_idx"), F.lit(PREFIX_SALT)).cast("int"))
     )
-    rows = wanted.join(blocks, ["_block", "_salt"]).select("user_idx", "depth", F.explode("_rows").alias("r"))
+    rows = wanted.join(blocks, [*by, "_block", "_salt"]).select("user_idx", "depth", F.explode("_rows").alias("r"))
     return rows.filter(F.col("r.rank") <= F.col("depth")).select("user_idx", "r.item_idx", "r.relevance", "r.rank")
