@@ -312,7 +312,7 @@ def knn_inputs(spark, d):
 def rec_knn(spark, d):
     """No oracle: every candidate against every log row is too slow in SQL; tests compare with brute force."""
     log, candidates, train = knn_inputs(spark, d)
-    return rec.knn(candidates, train, log, K, 5)
+    return rec.knn(candidates, train, log, K, 5, cell_items=1024)
 
 
 # --- streaming ------------------------------------------------------------------------------

@@ -153,12 +153,13 @@ def content(log: DataFrame, users: DataFrame, item_vectors: DataFrame, dim: int,
 
     A user without a profile gets random items; a zero profile has similarity 0 to all.
     """
-    profiles = user_profiles(log.join(users.select("user_idx"), "user_idx", "left_semi"), item_vectors, dim)
+    # read by the search and by the check for cold users
+    profiles = durable(user_profiles(log.join(users.select("user_idx"), "user_idx", "left_semi"), item_vectors, dim))
     queries = profiles.select("user_idx", vectors.normalized("vec").alias("vec"))
     units = item_vectors.select("item_idx", vectors.normalized("vec").alias("vec"))
     pairs = log.select("user_idx", "item_idx").join(item_vectors.select("item_idx"), "item_idx", "left_semi")
     seen = pairs.join(users.select("user_idx"), "user_idx", "left_semi") if filter_seen else None
-    known = vector_topk(queries, units, k, "dot", seen, threshold, **blocks).withColumnRenamed("score", "relevance")
+    known = vector_topk(queries, units, k, "dot", seen, threshold, query_rows=users, **blocks).withColumnRenamed("score", "relevance")
     cold = users.select("user_idx").join(profiles.select("user_idx"), "user_idx", "left_anti")
     if cold.isEmpty():
         return known
@@ -203,7 +204,8 @@ def knn(candidates: DataFrame, train: DataFrame, log: DataFrame | None, k: int,
     Training rows are (row_id, vec, label). With ``whole`` the score is rounded to a whole number,
     half to even, so ties are common.
     """
-    rows = candidates if log is None else drop_seen(candidates, log)
+    rows = durable(candidates if log is None else drop_seen(candidates, log))
+    train = durable(train)
     queries = rows.select(F.concat_ws(":", "user_idx", "item_idx").alias("qid"), "vec")
     scores = neighbour_mean(neighbours(queries, train, n, metric, **blocks), train)
     value = F.rint("relevance") if whole else F.round("relevance", 6)
@@ -250,6 +252,7 @@ def ngram_revenue(log: DataFrame, users: DataFrame, items: DataFrame, k: int, or
         cat = [CATEGORY_WEIGHT * F.coalesce(f"`{c}`", "other", F.lit(0.5)) for c in kinds]
     else:
         cat = [F.lit(CATEGORY_WEIGHT * 0.5) for _ in kinds]
+    base = durable(base)  # one row per user, used by both searches
     in_context = F.col("context_total").isNotNull()
     unknown = F.when(in_context, 0.0).otherwise(SEQUENCE_WEIGHT / (total + s * F.col("c")))
     default = F.when(in_context, SEQUENCE_WEIGHT * s / (F.col("context_total") + s * F.col("c"))).otherwise(0.0)
@@ -258,7 +261,8 @@ def ngram_revenue(log: DataFrame, users: DataFrame, items: DataFrame, k: int, or
     onehot = [F.when(F.col("category") == c, price).otherwise(0.0) for c in kinds]
     counted = items.join(next_counts.withColumnRenamed("n", "uni"), "item_idx", "left")
     targets = counted.select("item_idx", F.array(price * (F.coalesce("uni", F.lit(0)) + s), price, *onehot).alias("vec"))
-    best = vector_topk(queries, targets, k, "dot", seen)
+    targets = durable(targets)
+    best = vector_topk(queries, targets, k, "dot", seen, query_rows=users)
 
     in_ctx = base.filter(in_context)
     share = F.lit(SEQUENCE_WEIGHT) / (F.col("context_total") + s * F.col("c"))
@@ -305,9 +309,9 @@ def graph_revenue(log: DataFrame, users: DataFrame, items: DataFrame, numeric_us
     emb = graph_embeddings(log, users, items, numeric_users, numeric_items, hops)
     columns = [*numeric_users, *numeric_items, "bias"]
     un, it = node_ids(users, items)
-    emb = emb.select("node", F.array(*[F.round(c, 9) for c in columns]).alias("vec"))
+    emb = durable(emb.select("node", F.array(*[F.round(c, 9) for c in columns]).alias("vec")))
     queries = emb.join(un, "node").select("user_idx", "vec")
     priced = emb.join(it, "node").join(items.select("item_idx", "price"), "item_idx")
-    targets = priced.select("item_idx", vectors.scaled("vec", F.coalesce("price", F.lit(1.0))).alias("vec"))
+    targets = durable(priced.select("item_idx", vectors.scaled("vec", F.coalesce("price", F.lit(1.0))).alias("vec")))
     seen = log.select("user_idx", "item_idx") if filter_seen else None
-    return vector_topk(queries, targets, k, "dot", seen, digits=digits).withColumnRenamed("score", "relevance")
+    return vector_topk(queries, targets, k, "dot", seen, digits=digits, query_rows=users).withColumnRenamed("score", "relevance")

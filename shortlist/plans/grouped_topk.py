@@ -30,14 +30,14 @@ def grouped_vector_topk(
 
     shaped = lookup(queries, shape, "group")
     left = shaped.select(
-        F.col("user_idx").alias("qid"), "vec", F.lit(None).cast(item_type).alias("item"), "group", to("blocks").alias("block"), slot
+        F.col("user_idx").alias("qid"), "vec", F.lit(float("-inf")).alias("bound"), F.lit(None).cast(item_type).alias("item"), "group", to("blocks").alias("block"), slot
     )
     if seen is not None:
         # pairs are hashed by both keys; the group comes along from the query side
         marks = lookup(seen.select("user_idx", "item_idx"), queries.select("user_idx", "group"), "user_idx")
         marks = marks.join(items.select("group", "item_idx"), ["group", "item_idx"], "left_semi")
         marks = lookup(marks, shape, "group").select(
-            F.col("user_idx").alias("qid"), F.lit(None).cast("array<double>").alias("vec"), F.col("item_idx").alias("item"), "group", block, slot
+            F.col("user_idx").alias("qid"), F.lit(None).cast("array<double>").alias("vec"), F.lit(None).cast("double").alias("bound"), F.col("item_idx").alias("item"), "group", block, slot
         )
         left = left.unionByName(marks)
     right = lookup(items, shape, "group").select(

@@ -45,7 +45,7 @@ def prefix_topk(
     each user keeps at most ``depth`` seen ranks. Users who have seen more go through
     :func:`_deep_topk`, which has no bound.
     """
-    depth = depth or max(8 * k, 256)
+    depth = max(k, depth or max(8 * k, 256))  # a user without history must be served from the head
     scored = scored_items.select("item_idx", rounded().alias("relevance"))
     # at most `depth` rows: small enough to keep as a local table, so later jobs do not rank again
     best = [tuple(r) for r in scored.orderBy(*best_first()).limit(depth).collect()]
