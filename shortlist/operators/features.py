@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shortlist.plans.ordering import exact_percentiles, global_row_number
-from shortlist.plans.skew import BROADCAST_ROWS, lookup
+from shortlist.plans.ordering import ONE_TASK_ROWS, exact_percentiles, global_row_number
+from shortlist.plans.skew import lookup, spread
+from shortlist.session import durable
 
 LEVELS = ["very_low", "low", "medium", "high", "very_high"]
 LEVEL_POINTS = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
@@ -112,7 +113,7 @@ def item_features(log: DataFrame, items: DataFrame) -> DataFrame:
 
 def joined_features(log: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """Log rows with the user's and the item's features and history statistics."""
-    rows = log.select("user_idx", "item_idx", "relevance")
+    rows = spread(log.select("user_idx", "item_idx", "relevance"))
     out = lookup(rows, user_features(log, users), "user_idx", dim_rows=users)
     return lookup(out, item_features(log, items), "item_idx", dim_rows=items)
 
@@ -133,6 +134,7 @@ def segment_category_features(df: DataFrame, users: DataFrame | None = None, ite
     pairs = df.groupBy("user_idx", "i_category").agg(
         F.avg("relevance").alias("category_preference_score"), F.count("relevance").alias("category_exploration_score")
     )
+    pairs = durable(pairs)  # sized, joined, and counted for the diversity
     strength = df.groupBy("u_segment", "i_category").agg(F.avg("relevance").alias("segment_category_strength"))
     diversity = pairs.groupBy("user_idx").agg(F.count(F.lit(1)).alias("category_diversity"))
     segments = df.groupBy("item_idx").agg(F.count_distinct("u_segment").alias("item_segments"))
@@ -145,7 +147,7 @@ def segment_category_features(df: DataFrame, users: DataFrame | None = None, ite
 # --- binning --------------------------------------------------------------------------------
 
 
-def quantile_edges(df: DataFrame, column: str, points: list[float] = LEVEL_POINTS, small: int = BROADCAST_ROWS) -> list[float]:
+def quantile_edges(df: DataFrame, column: str, points: list[float] = LEVEL_POINTS, small: int = ONE_TASK_ROWS) -> list[float]:
     rows = exact_percentiles(df, column, points, small).collect()  # one row per point
     return [v for _, v in sorted((r["point"], r["value"]) for r in rows)]
 
@@ -174,6 +176,7 @@ def interaction_features(df: DataFrame, users: DataFrame | None = None, items: D
     """All features of a joined log (see :func:`joined_features`)."""
     known = df.select("u_segment") if users is None else users.select("segment")
     segments = sorted(r[0] for r in known.distinct().collect() if r[0] is not None)  # they become columns
+    df = durable(df)  # the joins below it are done once, not once per statistic
     price, income = F.col("i_price"), F.col("u_income")
     out = df.withColumns({
         "price_sensitivity": price / (income + 1),

@@ -7,8 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shortlist.plans.ordering import running_totals
-from shortlist.plans.skew import BROADCAST_ROWS
+from shortlist.plans.ordering import ONE_TASK_ROWS, running_totals
 
 FACTOR = 0.85
 KL_BINS, KL_EPSILON = 10, 1e-5
@@ -195,14 +194,14 @@ def _score_totals(df: DataFrame, score: str, label: str, small: int) -> DataFram
     return running_totals(per, "value", ["pos", "neg"], small)
 
 
-def area_under_roc(df: DataFrame, score: str, label: str, small: int = BROADCAST_ROWS) -> DataFrame:
+def area_under_roc(df: DataFrame, score: str, label: str, small: int = ONE_TASK_ROWS) -> DataFrame:
     """Share of (positive, negative) pairs in the right order, ties half, from running counts."""
     cum = _score_totals(df, score, label, small)
     won = F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + 0.5 * F.col("neg")))
     return cum.agg((won / (F.sum("pos") * F.sum("neg"))).alias("areaUnderROC"))
 
 
-def area_under_pr(df: DataFrame, score: str, label: str, small: int = BROADCAST_ROWS) -> DataFrame:
+def area_under_pr(df: DataFrame, score: str, label: str, small: int = ONE_TASK_ROWS) -> DataFrame:
     """Trapezoids between the points of the precision-recall curve, which starts at recall 0."""
     cum = _score_totals(df, score, label, small)
     all_pos, all_neg = df.agg(F.sum(F.when(F.col(label) > 0, 1).otherwise(0))).scalar(), df.agg(
@@ -219,7 +218,7 @@ def area_under_pr(df: DataFrame, score: str, label: str, small: int = BROADCAST_
 # --- distributions --------------------------------------------------------------------------
 
 
-def ks_statistic(a: DataFrame, b: DataFrame, name: str = "ks", small: int = BROADCAST_ROWS) -> DataFrame:
+def ks_statistic(a: DataFrame, b: DataFrame, name: str = "ks", small: int = ONE_TASK_ROWS) -> DataFrame:
     """Largest gap between the two empirical distribution functions (one column each)."""
     left = a.select(F.col(a.columns[0]).cast("double").alias("value"), F.lit(1).alias("x"), F.lit(0).alias("y"))
     right = b.select(F.col(b.columns[0]).cast("double").alias("value"), F.lit(0).alias("x"), F.lit(1).alias("y"))

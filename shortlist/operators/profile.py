@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shortlist.operators.metrics import bin_number
-from shortlist.plans.skew import BROADCAST_ROWS, is_small, lookup, spread_join
+from shortlist.plans.skew import BROADCAST_ROWS, is_small, lookup, spread, spread_join
 
 GOOD_LENGTH, GOOD_SHARE = 2.5, 30.0
 FAIR_LENGTH, FAIR_SHARE = 2.0, 20.0
@@ -150,7 +150,7 @@ def user_profiles(log: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
 
     Sums are kept per dimension, so each task combines its rows before the shuffle.
     """
-    rows = log.select("user_idx", "item_idx", "relevance")
+    rows = spread(log.select("user_idx", "item_idx", "relevance"))
     # vectors are wide, so fewer of them may be broadcast
     if is_small(vectors, BROADCAST_ROWS // dim):
         joined = rows.join(F.broadcast(vectors), "item_idx")

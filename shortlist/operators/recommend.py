@@ -109,10 +109,10 @@ def random_topk(log: DataFrame | None, users: DataFrame, items: DataFrame, k: in
         wanted = users.select("user_idx").withColumn("taken", F.lit(0).cast("long"))
         seen = None
     else:
-        seen = log.select("user_idx", "item_idx").join(items.select("item_idx"), "item_idx", "left_semi").distinct()
+        seen = durable(log.select("user_idx", "item_idx").join(items.select("item_idx"), "item_idx", "left_semi").distinct())
         wanted = pop.history_sizes(seen, users).withColumnRenamed("items", "taken")
     wanted = wanted.withColumn("free", n_items - F.col("taken"))
-    wanted = wanted.withColumn("wanted", F.least(F.lit(k).cast("long"), F.col("free")))
+    wanted = durable(wanted.withColumn("wanted", F.least(F.lit(k).cast("long"), F.col("free"))))
     drawn = sequential_draws(wanted, items, seed, without=seen)
     steps = wanted.select("user_idx", "free", "wanted", F.explode(F.sequence(F.lit(1).cast("long"), F.col("wanted"))).alias("rank")).filter(
         F.col("rank") <= F.col("wanted")
@@ -133,7 +133,7 @@ def ucb_sampled(log: DataFrame, users: DataFrame, items: DataFrame, k: int, seed
 
     A user gets k items more than the history is long (at most all items), a cold one k.
     """
-    scores = pop.score_share(pop.ucb_table(log, items, coef))
+    scores = durable(pop.score_share(durable(pop.ucb_table(log, items, coef))))
     n_items = items.agg(F.count(F.lit(1))).scalar()
     if filter_seen:
         sizes = pop.history_sizes(log, users)
@@ -299,7 +299,7 @@ def graph_nodes(users: DataFrame, items: DataFrame, numeric_users: list[str], nu
 
 
 def graph_embeddings(log: DataFrame, users: DataFrame, items: DataFrame, numeric_users: list[str], numeric_items: list[str], hops: int = 2, symmetric: bool = True) -> DataFrame:
-    e = edges(log, users, items)
+    e = durable(edges(log, users, items))  # read once for the degrees and once per hop
     nodes = graph_nodes(users, items, numeric_users, numeric_items)
     return propagate(nodes, reversed_too(e) if symmetric else e, [*numeric_users, *numeric_items, "bias"], hops)
 

@@ -7,11 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shortlist.plans.skew import BROADCAST_ROWS, heavy_keys, is_small
+from shortlist.plans.skew import heavy_keys, is_small
 from shortlist.session import durable
 
 ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 BLOCK = 65_536
+ONE_TASK_ROWS = 1_000_000  # narrow rows that a single task may sort
 
 
 def _sorted_parts(df: DataFrame, order: list[Column]) -> DataFrame:
@@ -32,7 +33,7 @@ def _before(parts: DataFrame, sums: dict[str, Column]) -> DataFrame:
     )
 
 
-def global_row_number(df: DataFrame, order: list[Column], name: str = "rank", small: int = BROADCAST_ROWS) -> DataFrame:
+def global_row_number(df: DataFrame, order: list[Column], name: str = "rank", small: int = ONE_TASK_ROWS) -> DataFrame:
     """1-based position of each row in the total order ``order``."""
     if is_small(df, small):
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
@@ -45,7 +46,7 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rank", sm
     )
 
 
-def running_totals(df: DataFrame, key: str, sums: list[str], small: int = BROADCAST_ROWS) -> DataFrame:
+def running_totals(df: DataFrame, key: str, sums: list[str], small: int = ONE_TASK_ROWS) -> DataFrame:
     """Add ``cum_<c>``: the inclusive running sum of each column, by ascending unique ``key``."""
     if is_small(df, small):
         upto = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -64,7 +65,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def exact_percentiles(df: DataFrame, column: str, points: list[float], small: int = BROADCAST_ROWS) -> DataFrame:
+def exact_percentiles(df: DataFrame, column: str, points: list[float], small: int = ONE_TASK_ROWS) -> DataFrame:
     """Linear-interpolated percentiles, one row per point: (point, value)."""
     cum = running_totals(value_counts(df, column), "value", ["n"], small)
     wanted = df.sparkSession.createDataFrame([(float(p),) for p in points], "point double")
