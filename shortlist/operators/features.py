@@ -106,8 +106,7 @@ def user_features(log: DataFrame, users: DataFrame) -> DataFrame:
 
 def item_features(log: DataFrame, items: DataFrame) -> DataFrame:
     out = items.join(item_stats(log), "item_idx", "left")
-    # one row per category
-    out = out.join(F.broadcast(category_stats(log, items)), "category", "left")
+    out = lookup(out, category_stats(log, items), "category", "left")
     return prefixed(out.select("item_idx", *[c for c in out.columns if c != "item_idx"]), "i_", "item_idx")
 
 

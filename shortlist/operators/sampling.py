@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shortlist.functions.randomness import gamma_int, normal, uniform
 from shortlist.functions.vectors import dot
 from shortlist.plans.ordering import global_row_number
-from shortlist.plans.skew import is_small
+from shortlist.plans.skew import is_small, lookup
 
 SAMPLE_LIMIT = 200_000
 
@@ -96,7 +96,7 @@ def stratified_folds(df: DataFrame, label: str, n: int, seed, key: list[str], ou
     numbered = global_row_number(df, order, "_place")
     first = numbered.groupBy(label).agg(F.min("_place").alias("_first"))
     return (
-        numbered.join(F.broadcast(first), label)  # one row per class
+        lookup(numbered, first, label)
         .withColumn(output, ((F.col("_place") - F.col("_first")) % n).cast("int"))
         .drop("_place", "_first")
     )

@@ -7,22 +7,21 @@ from pyspark.sql import functions as F
 
 HEAVY_SHARE = 1 / 200  # at most 200 keys can hold this share, so the list is bounded
 SPREAD = 32
-ROWS_PER_TASK = 250_000
 BROADCAST_ROWS = 200_000
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; reads no more than it must."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True if ``df`` has at most ``max_rows`` rows. A stored table answers from its footers."""
+    return df.count() <= max_rows
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a table that arrives in fewer pieces than there are cores.
+    """Give every core a share of a table that arrives in fewer files than there are cores.
 
-    A large table already has many splits and is left alone.
+    A large table has many files and is left alone.
     """
     tasks = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(tasks) if is_small(df, tasks * ROWS_PER_TASK) else df
+    return df.repartition(tasks) if len(df.inputFiles()) < tasks else df
 
 
 def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> list:
