@@ -224,13 +224,15 @@ def ngram_revenue(log: DataFrame, users: DataFrame, items: DataFrame, k: int, or
     Followers of the user's context are scored in a second search within that context only; their
     true score is above their default one (prices are positive), so the better of both is right.
     """
-    seq = sequences or Sequences(log, order, slice_by)
+    seq = sequences or Sequences(log, order, slice_by).stored()
     followers = durable(seq.ngrams(n))  # read several times below
     next_counts = followers.groupBy("item_idx").agg(F.sum("n").alias("n"))
     total = next_counts.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     by_context = followers.groupBy("context").agg(F.sum("n").alias("context_total"))
     items = items.select("item_idx", "category", "price")
-    seen = log.select("user_idx", "item_idx").join(users.select("user_idx"), "user_idx", "left_semi").distinct() if filter_seen else None
+    seen = None
+    if filter_seen:
+        seen = durable(log.select("user_idx", "item_idx").join(users.select("user_idx"), "user_idx", "left_semi").distinct())
 
     kinds = [r[0] for r in items.select("category").distinct().orderBy("category").collect()]  # become vector places
     n_items = items.agg(F.count(F.lit(1))).scalar()
@@ -246,7 +248,7 @@ def ngram_revenue(log: DataFrame, users: DataFrame, items: DataFrame, k: int, or
 
     s = F.lit(smoothing)
     if use_category:
-        prefs = category_preferences(log, items)
+        prefs = durable(category_preferences(log, items))  # used twice
         liked = category_scores(prefs, smoothing).groupBy("user_idx").pivot("category", kinds).agg(F.max("score"))
         base = base.join(liked, "user_idx", "left").join(other_category_score(prefs, smoothing), "user_idx", "left")
         cat = [CATEGORY_WEIGHT * F.coalesce(f"`{c}`", "other", F.lit(0.5)) for c in kinds]

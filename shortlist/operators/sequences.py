@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shortlist.plans.ordering import BLOCK, all_present, positions, previous
 from shortlist.plans.skew import heavy_keys, lookup
+from shortlist.session import durable
 
 
 class Sequences:
@@ -17,6 +18,11 @@ class Sequences:
         self.heavy = heavy_keys(log, user) if heavy is None else heavy
         self.rows = positions(log, user, order, slice_by, "pos", self.heavy, "length")
 
+    def stored(self) -> "Sequences":
+        """Keep only user, item and position, written once for several uses."""
+        self.rows = durable(self.rows.select(self.user, self.item, "pos", "length"))
+        return self
+
     def contexts(self, n: int) -> DataFrame:
         """Rows that have n earlier items, with ``prev_n .. prev_1`` (oldest first)."""
         out = previous(self.rows, self.user, "pos", self.item, n, self.heavy, self.block)
