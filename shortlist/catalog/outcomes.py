@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shortlist.catalog.base import K, SEED, VIEWS, query, with_views
+from shortlist.catalog.base import SEED, VIEWS, query, with_views
 from shortlist.catalog.feature_tables import vector_pairs
 from shortlist.catalog.sampling import make_items
 from shortlist.catalog.tables_and_joins import ucb_recs
@@ -32,7 +32,7 @@ def outcome(spark, d):
     with_views(["responses"], "SELECT user_idx, item_idx, relevance, rank, round(__noisy_relevance, 9) AS p, response, round(revenue, 6) AS revenue FROM responses"),
 )
 def responses(spark, d):
-    """The chain as an ML pipeline of transformers."""
+    """The chain as ML transformers."""
     both = rs.with_features(ucb_recs(spark, d), tb.users(spark, d), tb.items(spark, d))
     out = rs.response_model(SEED).transform(both)
     return out.select(
@@ -194,8 +194,7 @@ _BIG = "metric IN ('discounted_revenue', 'total_revenue')"
 
 @query(
     "metric_trajectory",
-    with_views(["yearly_metrics"], f"SELECT iter, metric, round(value, CASE WHEN {_BIG} THEN 2 ELSE 9 END) AS value FROM yearly_metrics".replace(
-        f"round(value, CASE WHEN {_BIG} THEN 2 ELSE 9 END)", f"CASE WHEN {_BIG} THEN round(value, 2) ELSE round(value, 9) END")),
+    with_views(["yearly_metrics"], f"SELECT iter, metric, CASE WHEN {_BIG} THEN round(value, 2) ELSE round(value, 9) END AS value FROM yearly_metrics"),
 )
 def metric_trajectory(spark, d):
     big = F.col("metric").isin("discounted_revenue", "total_revenue")

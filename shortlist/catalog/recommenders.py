@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shortlist.catalog.aggregates import CATEGORIES, VEC_DIM
+from shortlist.catalog.aggregates import VEC_DIM
 from shortlist.catalog.base import K, SEED, VIEWS, query, topk_view, with_views
 from shortlist.catalog.feature_tables import vector_pairs
-from shortlist.catalog.tables_and_joins import N_CANDIDATES, ucb_recs
+from shortlist.catalog.tables_and_joins import N_CANDIDATES
 from shortlist.functions.randomness import uniform_sql
 from shortlist.operators import features as feat
-from shortlist.operators import graph
 from shortlist.operators import popularity as pop
 from shortlist.operators import recommend as rec
-from shortlist.plans.vector_topk import vector_topk
 from shortlist.sources import tables as tb
 from shortlist.streaming.item_stats import item_stats_stream, read_log, streaming_scores
 
