@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shortlist.llm import decontaminate, line_dedup, near_dup
+from shortlist.llm import (
+    block_topk,
+    chat,
+    decontaminate,
+    licenses,
+    line_dedup,
+    near_dup,
+    pii,
+    quality,
+    sentencepiece_codec,
+    span_dedup,
+)
+
+#: a public model of the library; the path is a parameter of the operators
+PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,11 +45,62 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query("op1_sentencepiece")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ids of every text, and whether their decoding gives the text again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, PIECE_MODEL), PIECE_MODEL)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
+@query("op2_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_licenses")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 @query("op4_near_duplicates")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.Rule(shingle=3, percent=85))
 
 
+@query(
+    "op5_block_topk",
+    """WITH v AS (
+          SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+              FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20""",
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = block_topk.quantised(table(spark, sf_dir, "embeddings"))
+    return block_topk.top_products(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
+@query("op6_personal_data")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.col("counts")[i].alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS[:4])]
+    return found.select("doc_id", *counts, F.sha2(pii.spans_text("base"), 256).alias("base_sha256"), pii.spans_text("spans").alias("spans"))
+
+
+@query("op7_span_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = span_dedup.drop_repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_sentences", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op8_perspectives")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
 @query(
     "op9_line_dedup",
     f"""WITH lines AS (

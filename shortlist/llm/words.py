@@ -19,7 +19,8 @@ NOT_SPACE = ~SPACE
 # ASCII letters and digits, and every byte of a longer character
 WORD = np.zeros(256, bool)
 WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
-LOWER = np.arange(256, dtype=np.uint8)
+SAME = np.arange(256, dtype=np.uint8)
+LOWER = SAME.copy()
 LOWER[0x41:0x5B] += 32
 
 CHUNK_BYTES = 1 << 20
