@@ -7,6 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shortlist.llm.rows import pack, unpack
 from shortlist.session import durable
 
 WINDOW = 10
@@ -149,13 +150,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the rows that hold a test window, all columns."""
-    hits = occurrences(docs, durable(item_windows(benchmark, window))).select(F.col("_key").alias("_found")).distinct()
-    return _keyed(docs).join(durable(hits).hint("shuffle_hash"), F.col("_key") == F.col("_found"), "left_anti").drop("_key")
+    names, packed = docs.columns, pack(docs, "doc_id", "text")
+    hits = occurrences(packed, durable(item_windows(benchmark, window))).select(F.col("_key").alias("_found")).distinct()
+    kept = _keyed(packed).join(durable(hits).hint("shuffle_hash"), F.col("_key") == F.col("_found"), "left_anti")
+    return unpack(kept, names, ("doc_id", "text"))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with the words of test windows, and what stands before each, cut out of ``text``."""
-    hits = occurrences(docs, durable(item_windows(benchmark, window)))
+    names, packed = docs.columns, pack(docs, "doc_id", "text")
+    hits = occurrences(packed, durable(item_windows(benchmark, window)))
     cuts = durable(_spans(hits).select(F.col("_key").alias("_found"), _merged(F.col("spans")).alias("_cuts")))
     text = F.col("text").cast("string")
     pieces = F.regexp_extract_all(text, F.lit(GAP_AND_WORD), F.lit(0))
@@ -163,5 +167,6 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     begins = F.concat(F.transform("_cuts", lambda c: c["first"]), F.array(F.size(pieces) + 1))
     kept = F.zip_with(ends, begins, lambda e, b: F.array_join(F.slice(pieces, e + 1, F.greatest(b - e - 1, F.lit(0))), ""))
     cut = F.concat(F.array_join(kept, ""), F.regexp_extract(text, GAP_AT_END, 0))
-    joined = _keyed(docs).join(cuts.hint("shuffle_hash"), F.col("_key") == F.col("_found"), "left")
-    return joined.withColumn("text", F.when(F.col("_cuts").isNull(), text).otherwise(cut)).select(*docs.columns)
+    joined = _keyed(packed).join(cuts.hint("shuffle_hash"), F.col("_key") == F.col("_found"), "left")
+    reduced = joined.withColumn("text", F.when(F.col("_cuts").isNull(), text).otherwise(cut))
+    return unpack(reduced, names, ("doc_id", "text"))

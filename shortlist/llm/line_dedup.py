@@ -12,14 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shortlist.llm import bloom
+from shortlist.llm.rows import pack, unpack
 from shortlist.session import durable, release
 
 MIN_CHARS = 40
 MIN_DOCS = 5
-HASHES = 3
 BITS_PER_DOCUMENT = 128
-LEAST_BITS, MOST_BITS = 1 << 20, 1 << 30  # a filter is at most 128 MB, whatever the input
-PIECE_BYTES = 1 << 16
 
 
 def line_keys(text: bytes, min_chars: int) -> list[tuple[int, bytes]]:
@@ -37,23 +36,6 @@ def _texts(batch: pa.RecordBatch) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-def _places(digests: bytes, bits: int) -> np.ndarray:
-    """The ``HASHES`` bit numbers of each 16-byte digest."""
-    halves = np.frombuffer(digests, np.uint64).reshape(-1, 2)
-    steps = np.arange(HASHES, dtype=np.uint64)
-    return (halves[:, :1] + steps * (halves[:, 1:] | np.uint64(1))) & np.uint64(bits - 1)
-
-
-def _has(filter_: np.ndarray, places: np.ndarray) -> np.ndarray:
-    masks = np.left_shift(np.uint8(1), (places & np.uint64(7)).astype(np.uint8))
-    return ((filter_[places >> np.uint64(3)] & masks) != 0).all(axis=1)
-
-
-def _put(filter_: np.ndarray, places: np.ndarray) -> None:
-    masks = np.left_shift(np.uint8(1), (places & np.uint64(7)).astype(np.uint8))
-    np.bitwise_or.at(filter_, (places >> np.uint64(3)).ravel(), masks.ravel())
-
-
 def _filters(bits: int, min_chars: int):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
@@ -63,39 +45,15 @@ def _filters(bits: int, min_chars: int):
                 for digest in {d for _, d in line_keys(text, min_chars)}:
                     seen[digest] = seen.get(digest, 0) + 1
             if seen:
-                places = _places(b"".join(seen), bits)
-                again = _has(once, places) | (np.fromiter(seen.values(), np.int64, len(seen)) > 1)
-                _put(twice, places[again])
-                _put(once, places)
-        for piece in range(0, bits // 8, PIECE_BYTES):
-            part = once[piece : piece + PIECE_BYTES]
-            if part.any():
-                yield _piece(piece, part, twice[piece : piece + PIECE_BYTES])
+                places = bloom.places(b"".join(seen), bits)
+                again = bloom.has(once, places) | (np.fromiter(seen.values(), np.int64, len(seen)) > 1)
+                bloom.put(twice, places[again])
+                bloom.put(once, places)
+        yield from bloom.cut(once, twice)
 
     return build
 
 
-def _piece(piece: int, once: np.ndarray, twice: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array([piece]), pa.array([once.tobytes()]), pa.array([twice.tobytes()])], names=["piece", "once", "twice"])
-
-
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by piece. What two parts saw once each has been seen twice."""
-    at, once, twice = None, None, None
-    for batch in batches:
-        for piece, o, t in zip(*(batch.column(c) for c in ("piece", "once", "twice"))):
-            o, t = np.frombuffer(o.as_py(), np.uint8), np.frombuffer(t.as_py(), np.uint8)
-            if piece.as_py() == at:
-                twice = twice | t | (once & o)
-                once = once | o
-            else:
-                if at is not None:
-                    yield _piece(at, once, twice)
-                at, once, twice = piece.as_py(), o, t
-    if at is not None:
-        yield _piece(at, once, twice)
-
-
 def repeat_filter(docs: DataFrame, min_chars: int = MIN_CHARS, bits: int | None = None) -> tuple[int, bytes]:
     """(bits, filter) that holds the key of every line that is in two rows of ``docs`` or more.
 
@@ -103,19 +61,10 @@ def repeat_filter(docs: DataFrame, min_chars: int = MIN_CHARS, bits: int | None
     merged piece by piece. Their size follows the number of documents between 128 KB and 128 MB.
     A fuller filter only passes more lines on to the exact step.
     """
-    spark = docs.sparkSession
     if bits is None:
-        wanted = max(LEAST_BITS, BITS_PER_DOCUMENT * docs.count())
-        bits = min(MOST_BITS, 1 << (wanted - 1).bit_length())
-    pieces = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(
-        _filters(bits, min_chars), "piece long, once binary, twice binary")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    merged = pieces.repartition(n, "piece").sortWithinPartitions("piece").mapInArrow(
-        _merge, "piece long, once binary, twice binary")
-    out = np.zeros(bits // 8, np.uint8)
-    for row in merged.select("piece", "twice").toLocalIterator():
-        out[row.piece : row.piece + PIECE_BYTES] = np.frombuffer(row.twice, np.uint8)
-    return bits, out.tobytes()
+        bits = bloom.size_for(docs.count(), BITS_PER_DOCUMENT)
+    pieces = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_filters(bits, min_chars), bloom.PIECES)
+    return bits, bloom.collect(pieces, bits, "twice")
 
 
 def _with_suspects(docs: DataFrame, bits: int, filter_, min_chars: int) -> DataFrame:
@@ -128,7 +77,7 @@ def _with_suspects(docs: DataFrame, bits: int, filter_, min_chars: int) -> DataF
             for text in _texts(batch):
                 keys = line_keys(text, min_chars)
                 if keys:
-                    hit = _has(repeated, _places(b"".join(d for _, d in keys), bits))
+                    hit = bloom.has(repeated, bloom.places(b"".join(d for _, d in keys), bits))
                     keys = [k for k, h in zip(keys, hit) if h]
                 lines.append([i for i, _ in keys])
                 digests.append([d for _, d in keys])
@@ -162,14 +111,14 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: i
     ``min_chars`` code points that is in at least ``min_docs`` documents loses its lines in all
     documents but the one with the largest doc_id, which keeps all of them. Documents count by
     doc_id; rows without one are one document, smaller than any other. Repeated rows are treated
-    alike. Columns other than doc_id and text are passed through, if their names do not begin with
-    an underscore and are not n_lines or n_dropped.
+    alike. All other columns are passed through; one named n_lines or n_dropped is replaced.
 
     Documents without a suspected line never leave their task. Suspected lines are shuffled as
     128-bit digests, and a repeated line's count and largest doc_id are combined before the shuffle.
     """
     spark = docs.sparkSession
-    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string"))
+    names = docs.columns
+    docs = pack(docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string")), "doc_id", "text")
     bits, filter_ = repeat_filter(docs, min_chars, bits)
     held = spark.sparkContext.broadcast(filter_)
     key = F.xxhash64("text").alias("_text_hash")
@@ -201,4 +150,4 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: i
         *others, F.when(F.col("_drop").isNull(), F.col("text")).otherwise(_without("text", "_drop")).alias("text"), n_lines,
         F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"),
     )
-    return clean.unionByName(dirty).select(*docs.columns, "n_lines", "n_dropped")
+    return unpack(clean.unionByName(dirty), names, ("doc_id", "text"), ("n_lines", "n_dropped"))

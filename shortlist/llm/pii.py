@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shortlist.llm import words
+from shortlist.llm.rows import pack, unpack
 from shortlist.session import durable, release
 
 KINDS = ("email", "ip", "card", "phone", "term")  # fixed: the order of kinds at one place
@@ -126,7 +127,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _term_counter(wanted_bits: bytes):
+def _term_counter(held):
     """Documents that hold each word whose hash is among the wanted ones: (term, docs) in parts."""
 
     def reduced(parts: list[np.ndarray], sums: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,8 +135,8 @@ def _term_counter(wanted_bits: bytes):
         return terms, np.bincount(which, np.concatenate(sums), len(terms)).astype(np.int64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.frombuffer(wanted_bits, np.uint8)
-        parts, sums, held = [], [], 0
+        wanted = np.frombuffer(held.value, np.uint8)
+        parts, sums, waiting = [], [], 0
         for batch in batches:
             for _, _, raw, offsets in words.chunks(batch.column("text")):
                 starts, ends, bounds = words.word_spans(raw, offsets, words.WORD)
@@ -150,13 +151,13 @@ def _term_counter(wanted_bits: bytes):
                 first[1:] = (t[1:] != t[:-1]) | (d[1:] != d[:-1])
                 parts.append(t[first])
                 sums.append(np.ones(int(first.sum())))
-                held += len(parts[-1])
-                if held >= FLUSH:
+                waiting += len(parts[-1])
+                if waiting >= FLUSH:
                     terms, n = reduced(parts, sums)
-                    parts, sums, held = [terms], [n], len(terms)
-                    if held >= FLUSH // 2:
+                    parts, sums, waiting = [terms], [n], len(terms)
+                    if waiting >= FLUSH // 2:
                         yield pa.record_batch([pa.array(terms.view(np.int64)), pa.array(n)], names=["term", "docs"])
-                        parts, sums, held = [], [], 0
+                        parts, sums, waiting = [], [], 0
         if parts:
             terms, n = reduced(parts, sums)
             yield pa.record_batch([pa.array(terms.view(np.int64)), pa.array(n)], names=["term", "docs"])
@@ -199,8 +200,8 @@ def disclosures(docs: DataFrame, found: DataFrame, min_docs: int = MIN_DOCS, thr
     both = durable(beside.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= min_docs))
     holds = beside.select("doc_id", "text_hash", "entity").distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
     wanted = spark.sparkContext.broadcast(_bitmap(both.select("term").distinct()))
-    counter = _lazy_counter(wanted)
-    terms = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(counter, "term long, docs long")
+    terms = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(
+        _term_counter(wanted), "term long, docs long")
     with_term = terms.groupBy("term").agg(F.sum("docs").alias("with_term"))
     n = docs.count()
     share = F.log2(F.col("both") * F.lit(float(n)) / (F.col("with_term") * F.col("with_entity"))) / F.log2(F.lit(float(n)) / F.col("with_entity"))
@@ -209,13 +210,6 @@ def disclosures(docs: DataFrame, found: DataFrame, min_docs: int = MIN_DOCS, thr
     return rows.select("entity", "term", share.alias("disclosure")).where(F.col("disclosure") >= threshold)
 
 
-def _lazy_counter(wanted):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _term_counter(wanted.value)(batches)
-
-    return count
-
-
 def personal_data(docs: DataFrame, min_docs: int = MIN_DOCS, threshold: float = DISCLOSURE) -> DataFrame:
     """doc_id, text_hash, counts (of the four kinds), base and spans for each row of ``docs``.
 
@@ -251,7 +245,7 @@ def sanitise(docs: DataFrame, min_docs: int = MIN_DOCS, threshold: float = DISCL
     spans = personal_data(docs, min_docs, threshold).where(F.size("spans") > 0).select(
         F.struct("doc_id", "text_hash").alias("_of"), F.col("spans").alias("_spans")).dropDuplicates(["_of"])
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumn("_key", F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash")))
+    keyed = pack(docs, "doc_id", "text").withColumn("_key", F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash")))
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS[:-1]], F.lit(""))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
 
@@ -264,4 +258,5 @@ def sanitise(docs: DataFrame, min_docs: int = MIN_DOCS, threshold: float = DISCL
     out = F.aggregate("_spans", start, put)
     clean = F.concat(out["done"], F.substring(text, out["at"] + 1, F.char_length(text)))
     joined = keyed.join(spans.hint("shuffle_hash"), F.col("_key") == F.col("_of"), "left")
-    return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(clean)).select(*docs.columns)
+    reduced = joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(clean))
+    return unpack(reduced, docs.columns, ("doc_id", "text"))

@@ -282,15 +282,17 @@ class Codec:
 
 
 def _with_column(docs: DataFrame, name: str, kind: T.DataType, values) -> DataFrame:
+    kept = [c for c in docs.columns if c != name]
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, values(batch)], names=[*batch.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], values(batch)], names=[*kept, name])
 
-    return docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField(name, kind)]))
+    return docs.mapInArrow(add, T.StructType([*[docs.schema[c] for c in kept], T.StructField(name, kind)]))
 
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with an array column ``ids``. Null and empty texts have no ids.
+    """``docs`` with an array column ``ids``, in the place of one of that name. Null and empty texts have no ids.
 
     The ids equal those of the public library for the same model. A U+2581 in a text is a blank to
     every such model. The model file is read on the driver; its pieces, as many as the vocabulary
@@ -306,7 +308,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
 
 
 def decode(docs: DataFrame, model_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``docs`` with a string column ``text`` made of the ids. Null ids are an empty text."""
+    """``docs`` with a string column ``text``, in the place of one of that name, made of the ids. Null ids are an empty text."""
     held = docs.sparkSession.sparkContext.broadcast(Codec.load(model_path))
 
     def values(batch: pa.RecordBatch) -> pa.Array:

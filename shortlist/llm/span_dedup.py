@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shortlist.llm import words
+from shortlist.llm.rows import pack, unpack
 from shortlist.session import durable, release
 
 RUN = 3  # sentences in a span
@@ -109,13 +110,14 @@ def drop_repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WO
     texts. The first occurrence is the one in the smallest doc_id (none before all others), there
     at the smallest place; sentences that any other occurrence covers are removed. A text of fewer
     sentences has no run. Null and empty texts stay. Rows with equal doc_id and text are one
-    document, and each is reduced alike. Columns whose names begin with an underscore, n_sentences
-    and n_removed must not be there; all others are passed through.
+    document, and each is reduced alike. All other columns are passed through; one named n_sentences
+    or n_removed is replaced.
 
     A run travels as two hashes with its place; how often it occurs and where first is combined
     before the shuffle, so a passage in any share of the texts meets no single task.
     """
-    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string"))
+    names = docs.columns
+    docs = pack(docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string")), "doc_id", "text")
     text = F.coalesce("text", F.lit("")).alias("text")
     runs = docs.select("doc_id", text).select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
         _runs(run, min_words), "doc_id long, text_hash long, place int, h1 long, h2 long")
@@ -130,6 +132,8 @@ def drop_repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WO
     keyed = docs.withColumn("_key", F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")))
     joined = keyed.join(gone.hint("shuffle_hash"), F.col("_key") == F.col("_of"), "left")
     cut = joined.withColumn("_cut", _without(F.coalesce("text", F.lit("")), F.col("_gone")))
-    others = [F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.col("_cut.text")).alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return cut.select(
-        *others, F.col("_cut.n_sentences").alias("n_sentences"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"))
+    reduced = cut.select(
+        "doc_id", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.col("_cut.text")).alias("text"), "_rest",
+        F.col("_cut.n_sentences").alias("n_sentences"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
+    )
+    return unpack(reduced, names, ("doc_id", "text"), ("n_sentences", "n_removed"))
