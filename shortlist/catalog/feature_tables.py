@@ -177,15 +177,19 @@ def interaction_features(spark, d):
     )
 
 
+# fixed: the categories of the item table
+TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
 @query(
     "one_hot_pivot",
     with_views(
         ["items"],
-        "SELECT item_idx, " + ", ".join(f"(category = '{c}')::INTEGER::DOUBLE AS category_{c}" for c in ["ECONOMY", "PROMO", "STANDARD"]) + " FROM items",
+        "SELECT item_idx, " + ", ".join(f"(category = '{c}')::INTEGER::DOUBLE AS category_{c}" for c in TYPES) + " FROM items",
     ),
 )
 def one_hot_pivot(spark, d):
-    return feat.one_hot(tb.items(spark, d).select("item_idx", "category"), "category", ["ECONOMY", "PROMO", "STANDARD"]).drop("category")
+    return feat.one_hot(tb.items(spark, d).select("item_idx", "category"), "category", TYPES).drop("category")
 
 
 @query(
@@ -203,16 +207,18 @@ def standard_scale(spark, d):
 @query(
     "label_encode",
     with_views(
-        ["items"],
+        ["items", "log"],
         """SELECT item_idx, brand, coalesce(code, 0) AS code FROM items LEFT JOIN (
-             SELECT brand, row_number() OVER (ORDER BY brand) - 1 AS code FROM (SELECT DISTINCT brand FROM items WHERE category = 'PROMO' AND size > 40))
+             SELECT brand, row_number() OVER (ORDER BY brand) - 1 AS code
+             FROM (SELECT DISTINCT brand FROM items SEMI JOIN (SELECT item_idx FROM log WHERE iter <= 1998) USING (item_idx)))
            USING (brand)""",
     ),
 )
 def label_encode(spark, d):
-    """Codes learned on some items, applied to all: unseen brands get 0."""
+    """Codes learned on the items of the training years, applied to all: unseen brands get 0."""
     items = tb.items(spark, d)
-    codes = feat.label_codes(items.filter((F.col("category") == "PROMO") & (F.col("size") > 40)), "brand")
+    past = tb.interactions(spark, d).filter(F.col("iter") <= tb.LAST_TRAIN_YEAR)
+    codes = feat.label_codes(items.join(past, "item_idx", "left_semi"), "brand")
     return feat.label_encoded(items.select("item_idx", "brand"), "brand", codes)
 
 

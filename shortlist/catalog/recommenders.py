@@ -90,17 +90,15 @@ def expected_revenue_topk(spark, d):
     with_views(
         ["users", "items", "seen", "ucb"],
         topk_view(
-            f"""SELECT user_idx, item_idx, round(coalesce(ucb.relevance, 1.0 + sqrt(ln(2.0 * (SELECT count(*) FROM log)))) * price, 9) AS relevance
-                FROM users CROSS JOIN (SELECT item_idx FROM items ORDER BY {uniform_sql(SEED, 'item_idx')}, item_idx LIMIT {N_CANDIDATES})
-                JOIN items USING (item_idx) LEFT JOIN ucb USING (item_idx)"""
+            """SELECT user_idx, item_idx, round(coalesce(ucb.relevance, 1.0 + sqrt(ln(2.0 * (SELECT count(*) FROM log)))) * price, 9) AS relevance
+               FROM users CROSS JOIN items LEFT JOIN ucb USING (item_idx)"""
         ),
     ),
 )
 def rec_sequence_price(spark, d):
-    """The tail of the sequence model: any model's pair scores times price, unseen, top-k."""
+    """The tail of the sequence model: a model's scores times price, over all unseen items, top-k."""
     log, users, items = inputs(spark, d)
-    pairs = rec.scored_pairs(rec.random_candidates(users, items, N_CANDIDATES, SEED), log)
-    return rec.expected_revenue_pairs(pairs, items, log, K)
+    return rec.expected_revenue(pop.ucb_table(log, items), items, users, log, K)
 
 
 # --- random draws: the stream of draws is written out to a fixed length in the oracle ---------

@@ -194,15 +194,13 @@ def ucb_recs(spark, d):
         ["items"],
         """SELECT item_idx, round(coalesce((pos + 1.0) / (total + 2.0), 0.5), 9) AS relevance FROM items LEFT JOIN (
              SELECT l_partkey AS item_idx, sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END)::BIGINT AS pos, count(*) AS total
-             FROM lineitem WHERE l_quantity > 48 GROUP BY 1) USING (item_idx)""",
+             FROM lineitem GROUP BY 1) USING (item_idx)""",
     ),
 )
 def catalog_popularity(spark, d):
-    """Bulk orders only, so that some items have no history."""
-    bulk = tb.table(spark, d, "lineitem").filter(F.col("l_quantity") > 48).select(
-        F.col("l_partkey").alias("item_idx"), tb.kept("l_returnflag").alias("relevance")
-    )
-    return pop.popularity_table(bulk, tb.items(spark, d)).withColumn("relevance", F.round("relevance", 9))
+    """Every item of the catalogue; one without a line gets the neutral score."""
+    lines = tb.table(spark, d, "lineitem").select(F.col("l_partkey").alias("item_idx"), tb.kept("l_returnflag").alias("relevance"))
+    return pop.popularity_table(lines, tb.items(spark, d)).withColumn("relevance", F.round("relevance", 9))
 
 
 _U_ITEM = uniform_sql(SEED, "item_idx")

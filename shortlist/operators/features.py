@@ -178,8 +178,8 @@ def interaction_features(df: DataFrame, users: DataFrame | None = None, items: D
     df = durable(df)  # the joins below it are done once, not once per statistic
     price, income = F.col("i_price"), F.col("u_income")
     out = df.withColumns({
-        "price_sensitivity": price / (income + 1),
-        "price_affordability": income / (price + 1),
+        "price_sensitivity": F.try_divide(price, income + 1),  # null where the divisor is 0
+        "price_affordability": F.try_divide(income, price + 1),
         "price_income_interaction": price * income,
     }).withColumn("price_elasticity", F.col("price_sensitivity") * F.col("price_affordability"))
     means = out.groupBy("u_segment").agg(F.avg("price_sensitivity").alias("segment_price_sensitivity"))
@@ -195,9 +195,9 @@ def interaction_features(df: DataFrame, users: DataFrame | None = None, items: D
         "user_activity_level": level("u_user_interaction_count", edges["user_activity_level"]),
         "item_popularity_level": level("i_item_popularity", edges["item_popularity_level"]),
         "user_engagement_score": F.col("u_user_interaction_count") * F.col("u_user_avg_relevance"),
-        "user_exploration_score": F.col("u_user_interaction_count") / F.col("category_diversity"),
+        "user_exploration_score": F.try_divide(F.col("u_user_interaction_count"), F.col("category_diversity")),
         "item_engagement_score": F.col("i_item_popularity") * F.col("i_item_avg_relevance"),
-        "item_diversity_score": F.col("i_item_popularity") / F.col("item_segments"),
+        "item_diversity_score": F.try_divide(F.col("i_item_popularity"), F.col("item_segments")),
         **{
             f"segment_{s}_price_match": F.when(F.col("u_segment") == s, F.col("price_affordability")).otherwise(0.0)
             for s in segments

@@ -128,7 +128,7 @@ def iteration_metrics(recs: DataFrame, k: int, by: list[str]) -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, prediction: str, label: str) -> DataFrame:
-    """rmse, mse, mae, r2 and explained variance in one pass over the rows."""
+    """rmse, mse, mae, r2 and explained variance in one pass over the rows. r2 of a constant label is null."""
     p, y = F.col(prediction), F.col(label)
     err = y - p
     sums = df.agg(
@@ -138,7 +138,7 @@ def regression_metrics(df: DataFrame, prediction: str, label: str) -> DataFrame:
     )
     mean = F.col("mean_label")
     return sums.select(
-        F.sqrt("mse").alias("rmse"), "mse", "mae", (1.0 - F.col("mse") / F.col("spread")).alias("r2"),
+        F.sqrt("mse").alias("rmse"), "mse", "mae", (1.0 - F.try_divide(F.col("mse"), F.col("spread"))).alias("r2"),
         (F.col("mean_p2") - 2.0 * mean * F.col("mean_p") + mean * mean).alias("var"),
     )
 
@@ -195,14 +195,15 @@ def _score_totals(df: DataFrame, score: str, label: str, small: int) -> DataFram
 
 
 def area_under_roc(df: DataFrame, score: str, label: str, small: int = ONE_TASK_ROWS) -> DataFrame:
-    """Share of (positive, negative) pairs in the right order, ties half, from running counts."""
+    """Share of (positive, negative) pairs in the right order, ties half, from running counts; null with one class."""
     cum = _score_totals(df, score, label, small)
     won = F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + 0.5 * F.col("neg")))
-    return cum.agg((won / (F.sum("pos") * F.sum("neg"))).alias("areaUnderROC"))
+    return cum.agg(F.try_divide(won, F.sum("pos") * F.sum("neg")).alias("areaUnderROC"))
 
 
 def area_under_pr(df: DataFrame, score: str, label: str, small: int = ONE_TASK_ROWS) -> DataFrame:
-    """Trapezoids between the points of the precision-recall curve, which starts at recall 0."""
+    """Trapezoids between the points of the precision-recall curve, which starts at recall 0;
+    null without positives."""
     cum = _score_totals(df, score, label, small)
     all_pos, all_neg = df.agg(F.sum(F.when(F.col(label) > 0, 1).otherwise(0))).scalar(), df.agg(
         F.sum(F.when(F.col(label) > 0, 0).otherwise(1))
@@ -212,7 +213,7 @@ def area_under_pr(df: DataFrame, score: str, label: str, small: int = ONE_TASK_R
     tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
     here = tp / (tp + fp)
     above = F.when(tp0 + fp0 > 0, tp0 / (tp0 + fp0)).otherwise(here)
-    return cum.agg((F.sum(F.col("pos") * (here + above) / 2.0) / F.max(all_pos)).alias("areaUnderPR"))
+    return cum.agg(F.try_divide(F.sum(F.col("pos") * (here + above) / 2.0), F.max(all_pos)).alias("areaUnderPR"))
 
 
 # --- distributions --------------------------------------------------------------------------

@@ -120,7 +120,8 @@ def leaderboard(rows: DataFrame) -> DataFrame:
             for m in names
         ],
     )
-    change = (F.col("test_avg_revenue") / F.col("train_avg_revenue") - 1) * 100
+    # null for a model without train revenue
+    change = (F.try_divide(F.col("test_avg_revenue"), F.col("train_avg_revenue")) - 1) * 100
     return wide.withColumn("change_pct", change).orderBy(F.col("test_total_revenue").desc(), "model")
 
 

@@ -67,7 +67,7 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -80,7 +80,7 @@ def durable(df: DataFrame) -> DataFrame:
     folder = f"{shared_dir(spark)}/tables-{spark.sparkContext.applicationId}"
     path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    p, fs = _hadoop_path(spark, folder)
+    p, fs = hadoop_path(spark, folder)
     fs.deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(path)
     out._durable_path = path
@@ -92,5 +92,5 @@ def release(*tables: DataFrame) -> None:
     for df in tables:
         path = getattr(df, "_durable_path", None)
         if path is not None:
-            p, fs = _hadoop_path(df.sparkSession, path)
+            p, fs = hadoop_path(df.sparkSession, path)
             fs.delete(p, True)
