@@ -149,11 +149,26 @@ _COSINE = """SELECT user_idx, item_idx, round(CASE WHEN weight > 0 THEN coalesce
 VIEWS["content_known"] = (("profiles", "vec", "seen"), topk_view(f"SELECT * FROM ({_COSINE}) WHERE relevance >= 0"))
 
 
-@query("rec_content", with_views(["content_known"], "SELECT user_idx, item_idx, round(relevance, 6) AS relevance, rank FROM content_known"))
+# users without a profile: the stream of random draws over the items that have a vector
+_COLD = f"""SELECT user_idx, item_idx, relevance, rank::INTEGER AS rank FROM (
+    SELECT user_idx, item_idx, row_number() OVER (PARTITION BY user_idx ORDER BY draw) AS rank FROM (
+      {_draws(SEED, "(SELECT user_idx FROM users ANTI JOIN profiles USING (user_idx))", 200, "1.0 AS w FROM vec").replace("count(*) FROM items", "count(*) FROM vec")}))
+  JOIN (SELECT user_idx, rank, exp(sum(ln(1.0 - {uniform_sql(f'{SEED}/score', 'user_idx', 'rank')}) / ((SELECT count(*) FROM vec) - rank + 1))
+          OVER (PARTITION BY user_idx ORDER BY rank)) AS relevance FROM users, range(1, {K + 1}) t(rank)) USING (user_idx, rank)"""
+
+
+@query(
+    "rec_content",
+    with_views(
+        ["users", "content_known", "vec"],
+        f"""SELECT user_idx, item_idx, round(relevance, 6) AS relevance, rank FROM content_known
+            UNION ALL SELECT user_idx, item_idx, round(round(relevance, 9), 6) AS relevance, rank FROM ({_COLD})""",
+    ),
+)
 def rec_content(spark, d):
+    """Every user: by profile, or at random where there is none."""
     log, users, _ = inputs(spark, d)
-    known = users.join(log.join(tb.vectors(spark, d).select("item_idx"), "item_idx", "left_semi"), "user_idx", "left_semi")
-    out = rec.content(log, known, tb.vectors(spark, d), VEC_DIM, K, seed=SEED)
+    out = rec.content(log, users, tb.vectors(spark, d), VEC_DIM, K, seed=SEED)
     return out.withColumn("relevance", F.round("relevance", 6))
 
 
