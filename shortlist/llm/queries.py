@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,12 +59,45 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query("op3_licenses")
+def _license_sql() -> str:
+    parts = {k: re.sub(r"([.!?;:])[ \t\r]+", "\\1\n", v).split("\n") for k, v in licenses.SENTENCES.items()}
+    normal = {k: max((re.sub("[^a-z0-9]+", " ", x.lower()).strip() for x in v), key=lambda x: (len(x), x)) for k, v in parts.items()}
+    known = ", ".join(f"('{k}', '{v}')" for k, v in normal.items())
+    line, names = "l.line", []
+    for name, ids in sorted(licenses.RULES, key=lambda r: (-len(r[1]), r[0], r[1])):
+        run = f"' {' '.join(ids)} '"
+        names.append(f"CASE WHEN contains({line}, {run}) THEN '{name}' END")
+        line = f"replace({line}, {run}, ' | ')"
+    return f"""WITH known(sentence_id, normal) AS (VALUES {known}),
+        parts AS (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '([.!?;:])[ \t\r]+', '\\1' || chr(10), 'g'), chr(10)) AS p FROM documents),
+        one AS (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM parts),
+        found AS (SELECT DISTINCT doc_id, i, sentence_id FROM (
+          SELECT doc_id, i, trim(regexp_replace(lower(p[i]), '[^a-z0-9]+', ' ', 'g')) AS normal FROM one) JOIN known USING (normal)),
+        l AS (SELECT doc_id, count(*) AS n, string_agg(sentence_id, ',' ORDER BY i, sentence_id) AS ids,
+                     ' ' || string_agg(sentence_id, ' ' ORDER BY i, sentence_id) || ' ' AS line FROM found GROUP BY doc_id)
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_sentences, coalesce(ids, '') AS sentence_ids,
+               coalesce(array_to_string(list_sort(list_distinct(list_filter([{', '.join(names)}], lambda x: x IS NOT NULL))), ','), '') AS licenses
+        FROM documents LEFT JOIN l USING (doc_id)"""
+
+
+@query("op3_licenses", _license_sql())
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
-@query("op4_near_duplicates")
+@query(
+    "op4_near_duplicates",
+    f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        runs AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 3) - 1], ' ') AS s
+                 FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 3) + 2)) AS i FROM d WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id),
+        pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM runs a JOIN runs b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reached AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT doc_id, b FROM reached JOIN ways ON r = a)
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(r) AS component_id, min(r) = doc_id AS kept
+        FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n""",
+)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.Rule(shingle=3, percent=85))
 
@@ -96,9 +130,25 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_sentences", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-@query("op8_perspectives")
+@query(
+    "op8_perspectives",
+    """WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS speaker, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, text) - 1 AS n FROM t),
+        s AS (SELECT DISTINCT conv_id, speaker AS who FROM t),
+        r AS (SELECT conv_id, who, (n // 64)::INTEGER AS part, n, speaker = who AS own, text || '<|im_end|>' || chr(10) AS body,
+                     CASE WHEN speaker = who THEN '<|im_start|>assistant' || chr(10)
+                          ELSE '<|im_start|>user name=' || regexp_replace(speaker, '\\s+', '_', 'g') || chr(10) END AS head
+              FROM p JOIN s USING (conv_id)),
+        o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, who, part ORDER BY n)::BIGINT AS stop FROM r)
+        SELECT conv_id, who AS speaker, part, count(*)::BIGINT AS n_turns, count(*) FILTER (own)::BIGINT AS n_own,
+               string_agg(head || body, '' ORDER BY n) AS text,
+               coalesce(string_agg((stop - length(body)) || ':' || stop, ',' ORDER BY n) FILTER (own), '') AS masks
+        FROM o GROUP BY conv_id, who, part""",
+)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.perspectives(table(spark, sf_dir, "conversations"))
+    rendered = chat.perspectives(table(spark, sf_dir, "conversations"))
+    masks = F.array_join(F.transform("masks", lambda m: F.concat_ws(":", m["start"], m["end"])), ",")
+    return rendered.withColumn("masks", masks)
 
 
 @query(
