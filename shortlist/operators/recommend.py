@@ -9,7 +9,7 @@ from shortlist.functions import vectors
 from shortlist.functions.randomness import uniform
 from shortlist.operators import popularity as pop
 from shortlist.operators.features import standard_scaled
-from shortlist.operators.graph import edges, node_ids, propagate, reversed_too
+from shortlist.operators.graph import edges, node_ids, propagate, reversed_too, stored_node_ids
 from shortlist.operators.profile import category_preferences, user_profiles
 from shortlist.operators.sampling import exactly
 from shortlist.operators.sequences import Sequences, category_scores
@@ -294,23 +294,24 @@ def graph_features(users: DataFrame, items: DataFrame, numeric_users: list[str],
     return u, i
 
 
-def graph_nodes(users: DataFrame, items: DataFrame, numeric_users: list[str], numeric_items: list[str]) -> DataFrame:
+def graph_nodes(users: DataFrame, items: DataFrame, numeric_users: list[str], numeric_items: list[str], ids=None) -> DataFrame:
     u, i = graph_features(users, items, numeric_users, numeric_items)
-    un, it = node_ids(users, items)
+    un, it = ids or node_ids(users, items)
     return u.join(un, "user_idx").drop("user_idx").unionByName(i.join(it, "item_idx").drop("item_idx"))
 
 
-def graph_embeddings(log: DataFrame, users: DataFrame, items: DataFrame, numeric_users: list[str], numeric_items: list[str], hops: int = 2, symmetric: bool = True) -> DataFrame:
-    e = durable(edges(log, users, items))  # read once for the degrees and once per hop
-    nodes = graph_nodes(users, items, numeric_users, numeric_items)
+def graph_embeddings(log: DataFrame, users: DataFrame, items: DataFrame, numeric_users: list[str], numeric_items: list[str], hops: int = 2, symmetric: bool = True, ids=None) -> DataFrame:
+    ids = ids or stored_node_ids(users, items)
+    e = durable(edges(log, users, items, ids))  # read once for the degrees and once per hop
+    nodes = graph_nodes(users, items, numeric_users, numeric_items, ids)
     return propagate(nodes, reversed_too(e) if symmetric else e, [*numeric_users, *numeric_items, "bias"], hops)
 
 
 def graph_revenue(log: DataFrame, users: DataFrame, items: DataFrame, numeric_users: list[str], numeric_items: list[str], k: int, hops: int = 2, filter_seen: bool = True, digits: int = 9) -> DataFrame:
     """Dot product of the propagated user and item features times the item price."""
-    emb = graph_embeddings(log, users, items, numeric_users, numeric_items, hops)
+    un, it = ids = stored_node_ids(users, items)
+    emb = graph_embeddings(log, users, items, numeric_users, numeric_items, hops, ids=ids)
     columns = [*numeric_users, *numeric_items, "bias"]
-    un, it = node_ids(users, items)
     emb = durable(emb.select("node", F.array(*[F.round(c, 9) for c in columns]).alias("vec")))
     queries = emb.join(un, "node").select("user_idx", "vec")
     priced = emb.join(it, "node").join(items.select("item_idx", "price"), "item_idx")
