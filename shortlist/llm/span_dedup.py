@@ -11,70 +11,101 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shortlist.llm import words
+from shortlist.llm import bloom, words
 from shortlist.llm.rows import pack, unpack
 from shortlist.session import durable, release
 
-RUN = 3  # sentences in a span
+RUN = 4  # sentences in a span
 MIN_WORDS = 12  # shorter spans are common phrases, not passages
+CLAUSE = 4  # one word in so many also ends a sentence
+BITS_PER_DOCUMENT = 512
 
 _END = np.zeros(256, bool)
 _END[[0x21, 0x2E, 0x3F]] = True  # ! . ?
 
 
-def sentence_ends(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each sentence ends, and where each text's sentences begin in that list. A sentence ends
-    before a line break, after . ! or ? with white space behind it, and with its text; what has no
-    word belongs to the sentence before it, or to the next one at a text's start."""
+def sentences(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ends, hashes and word counts of the sentences, and where each text's sentences begin.
+
+    A sentence ends before a line break, after . ! or ? with white space behind it, after a word
+    whose hash is a multiple of ``CLAUSE``, and with its text. The last kind of end cuts sentences
+    of any length the same way wherever they stand, so a passage within a longer sentence has
+    sentences of its own. What has no word belongs to the sentence before it, or to the first one.
+    """
+    starts, stops, word_bounds = words.word_spans(raw, offsets, words.WORD)
+    hashes = words.word_hashes(raw, starts, stops)
     cut = np.zeros(len(raw) + 1, bool)
     cut[1:-1] = (_END[raw[:-1]] & words.SPACE[raw[1:]]) | (raw[1:] == 0x0A)
+    cut[stops[hashes % np.uint64(CLAUSE) == 0]] = True
     cut[offsets] = True
     points = np.flatnonzero(cut)
     points = points[points > 0]
-    filled = np.concatenate([[0], np.cumsum(words.NOT_SPACE[raw])])
-    before = np.concatenate([[0], points[:-1]])
-    has_word = filled[points] > filled[before]
-    texts_end = np.zeros(len(raw) + 1, bool)
-    texts_end[offsets[1:]] = True
-    return points[has_word], np.searchsorted(points[has_word], offsets, "right")
-
-
-def _sentences(raw: np.ndarray, offsets: np.ndarray):
-    """Hash and word count of each sentence, and where each text's sentences begin."""
-    ends, bounds = sentence_ends(raw, offsets)
-    starts, stops, word_bounds = words.word_spans(raw, offsets, words.WORD)
-    hashes = words.word_hashes(raw, starts, stops)
-    of_end = np.searchsorted(starts, ends)
-    of_start = np.concatenate([[0], of_end[:-1]]) if len(ends) else of_end
-    counts = of_end - of_start
+    text_end = np.zeros(len(raw) + 1, bool)
+    text_end[offsets[1:]] = True
+    # number of words that end at or before each point, and before its text
+    so_far = np.searchsorted(stops, points, "right")
+    of_text = np.searchsorted(offsets[1:], points)
+    has_word = np.diff(so_far, prepend=0) > 0
+    closes = np.append(has_word[1:], True) | text_end[points]
+    keep = closes & (so_far > word_bounds[of_text])
+    ends, last = points[keep], so_far[keep]
+    first = np.concatenate([[0], last[:-1]]) if len(last) else last
+    counts = last - first
     # order-dependent sum: each word is mixed with its place in the sentence
-    place = np.arange(len(hashes)) - np.repeat(of_start, counts) if len(ends) else np.zeros(0, np.int64)
+    place = np.arange(len(hashes)) - np.repeat(first, counts) if len(ends) else np.zeros(0, np.int64)
     sums = np.zeros(len(hashes) + 1, np.uint64)
     np.cumsum(words.mix(hashes ^ (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)), out=sums[1:])
-    return words.mix(sums[of_end] - sums[of_start]), counts, bounds
+    return ends, words.mix(sums[last] - sums[first]), counts, np.searchsorted(ends, offsets, "right")
 
 
-def _runs(run: int, min_words: int):
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _spans(raw: np.ndarray, offsets: np.ndarray, run: int, min_words: int):
+    """Text number, place and two hashes of every run that counts."""
+    _, hashes, counts, bounds = sentences(raw, offsets)
+    spans, edges = words.window_hashes(hashes, bounds, run)
+    per_text = np.diff(edges)
+    text = np.repeat(np.arange(len(per_text)), per_text)
+    place = np.arange(len(spans)) - np.repeat(edges[:-1], per_text)
+    first = np.repeat(bounds[:-1], per_text) + place
+    size = np.minimum(np.repeat(np.diff(bounds), per_text), run)
+    total = np.concatenate([[0], np.cumsum(counts)])
+    kept = np.flatnonzero((size == run) & (total[first + size] - total[first] >= min_words))
+    return text[kept], place[kept], spans[kept], words.mix(spans[kept] + hashes[first[kept]])
+
+
+def _digests(h1: np.ndarray, h2: np.ndarray) -> bytes:
+    return np.stack([h1, h2], 1).tobytes()
+
+
+def _filters(bits: int, run: int, min_words: int):
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
         for batch in batches:
-            at = 0
             for _, _, raw, offsets in words.chunks(batch.column("text")):
-                n = len(offsets) - 1
-                hashes, counts, bounds = _sentences(raw, offsets)
-                spans, edges = words.window_hashes(hashes, bounds, run)
-                text = np.repeat(np.arange(n), np.diff(edges))
-                place = np.arange(len(spans)) - np.repeat(edges[:-1], np.diff(edges))
-                first = np.repeat(bounds[:-1], np.diff(edges)) + place
-                size = np.minimum(np.repeat(np.diff(bounds), np.diff(edges)), run)
-                total = np.concatenate([[0], np.cumsum(counts)])
-                kept = np.flatnonzero((total[first + size] - total[first] >= min_words) & (size == run)) if len(spans) else np.zeros(0, np.int64)
-                ids = batch.column("doc_id").slice(at, n).take(pa.array(text[kept]))
-                keys = batch.column("text_hash").slice(at, n).take(pa.array(text[kept]))
+                _, _, h1, h2 = _spans(raw, offsets, run, min_words)
+                _, where, n = np.unique(h1, return_index=True, return_counts=True)
+                at = bloom.places(_digests(h1[where], h2[where]), bits)
+                bloom.put(twice, at[bloom.has(once, at) | (n > 1)])
+                bloom.put(once, at)
+        yield from bloom.cut(once, twice)
+
+    return build
+
+
+def _suspects(run: int, min_words: int, bits: int, held):
+    """Runs that the filter of repeated ones holds."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        repeated = np.frombuffer(held.value, np.uint8)
+        for batch in batches:
+            for begin, last, raw, offsets in words.chunks(batch.column("text")):
+                text, place, h1, h2 = _spans(raw, offsets, run, min_words)
+                hit = bloom.has(repeated, bloom.places(_digests(h1, h2), bits)) if len(h1) else np.zeros(0, bool)
+                of = pa.array(text[hit] + begin)
                 yield pa.record_batch(
-                    [ids, keys, pa.array(place[kept].astype(np.int32)), pa.array(spans[kept].view(np.int64)), pa.array(words.mix(spans[kept] + hashes[first[kept]]).view(np.int64))],
+                    [batch.column("doc_id").take(of), batch.column("text_hash").take(of), pa.array(place[hit].astype(np.int32)),
+                     pa.array(h1[hit].view(np.int64)), pa.array(h2[hit].view(np.int64))],
                     names=["doc_id", "text_hash", "place", "h1", "h2"],
                 )
-                at += n
 
     return hashed
 
@@ -82,7 +113,7 @@ def _runs(run: int, min_words: int):
 def _cut(text: str, gone) -> tuple[str, int]:
     """The text without the sentences whose numbers are in ``gone``, and the number of sentences."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    ends, _ = sentence_ends(raw, np.array([0, len(raw)]))
+    ends = sentences(raw, np.array([0, len(raw)]))[0]
     if len(ends) == 0:
         return text, 0
     if gone is None or len(gone) == 0:
@@ -104,8 +135,7 @@ def _without(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
 def drop_repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` (doc_id, text, other columns) with ``text`` reduced, and n_sentences, n_removed added.
 
-    A sentence ends before a line break, after . ! or ? with white space behind it, and with its
-    text. Two sentences are equal if their words are, with A-Z lower-cased. Every run of ``run``
+    For sentences see ``sentences``; two are equal if their words are, with A-Z lower-cased. Every run of ``run``
     consecutive sentences with at least ``min_words`` words is looked up among the runs of all
     texts. The first occurrence is the one in the smallest doc_id (none before all others), there
     at the smallest place; sentences that any other occurrence covers are removed. A text of fewer
@@ -113,22 +143,25 @@ def drop_repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WO
     document, and each is reduced alike. All other columns are passed through; one named n_sentences
     or n_removed is replaced.
 
-    A run travels as two hashes with its place; how often it occurs and where first is combined
-    before the shuffle, so a passage in any share of the texts meets no single task.
+    Bloom filters tell which runs may occur twice; only those travel, as two hashes with their
+    place. How often one occurs and where first is combined before the shuffle, so a passage in any
+    share of the texts meets no single task.
     """
     names = docs.columns
     docs = pack(docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string")), "doc_id", "text")
     text = F.coalesce("text", F.lit("")).alias("text")
-    runs = docs.select("doc_id", text).select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        _runs(run, min_words), "doc_id long, text_hash long, place int, h1 long, h2 long")
+    texts = docs.select("doc_id", text).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    bits = bloom.size_for(docs.count(), BITS_PER_DOCUMENT)
+    pieces = texts.select("text").mapInArrow(_filters(bits, run, min_words), bloom.PIECES)
+    held = docs.sparkSession.sparkContext.broadcast(bloom.collect(pieces, bits, "twice"))
+    runs = durable(texts.mapInArrow(_suspects(run, min_words, bits, held), "doc_id long, text_hash long, place int, h1 long, h2 long"))
     where = F.struct("doc_id", "text_hash", "place")
     often = runs.groupBy("h1", "h2").agg(F.min(where).alias("first"), F.max(where).alias("last"))
-    # most runs occur once; only the others are looked up
     often = durable(often.where("first <> last").select("h1", "h2", "first"))
     covered = runs.join(often, ["h1", "h2"]).where(where != F.col("first"))
     gone = covered.select("doc_id", "text_hash", F.explode(F.sequence(F.col("place"), F.col("place") + run - 1)).alias("place"))
     gone = durable(gone.groupBy(F.struct("doc_id", "text_hash").alias("_of")).agg(F.array_sort(F.collect_set("place")).alias("_gone")))
-    release(often)
+    release(often, runs)
     keyed = docs.withColumn("_key", F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")))
     joined = keyed.join(gone.hint("shuffle_hash"), F.col("_key") == F.col("_of"), "left")
     cut = joined.withColumn("_cut", _without(F.coalesce("text", F.lit("")), F.col("_gone")))

@@ -3,28 +3,31 @@
 import random
 import re
 
-from shortlist.llm import span_dedup
+import numpy as np
+
+from shortlist.llm import span_dedup, words
 
 RUN, MIN_WORDS = 3, 6
 WORD = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
+WS = " \t\n\v\f\r"
+
+
+def ends_clause(word):
+    raw = np.frombuffer(word.encode(), np.uint8)
+    return int(words.word_hashes(raw, np.array([0]), np.array([len(raw)]))[0]) % span_dedup.CLAUSE == 0
 
 
 def sentences(text):
-    out = [""]
-    for i, c in enumerate(text):
-        if c == "\n" or (i and text[i - 1] in ".!?" and c in " \t\v\f\r"):
-            out.append("")
-        out[-1] += c
-    merged = []
-    for part in out:
-        if part.strip(" \t\n\v\f\r") or not merged:
-            merged.append(part)
+    cuts = {i for i, c in enumerate(text) if i and (c == "\n" or text[i - 1] in ".!?" and c in WS)}
+    cuts |= {m.end() for m in WORD.finditer(text) if ends_clause(m[0])}
+    edges = sorted(cuts | {0, len(text)})
+    out = []
+    for part in (text[a:b] for a, b in zip(edges, edges[1:])):
+        if out and (not WORD.search(part) or not WORD.search(out[-1])):
+            out[-1] += part
         else:
-            merged[-1] += part
-    if len(merged) > 1 and not merged[0].strip(" \t\n\v\f\r"):
-        merged[1] = merged[0] + merged[1]
-        merged = merged[1:]
-    return merged if any(x.strip(" \t\n\v\f\r") for x in merged) else []
+            out.append(part)
+    return [x for x in out if WORD.search(x)] if WORD.search(text) else []
 
 
 def key(sentence):
