@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shortlist.llm import words
+from shortlist.llm import bloom, words
 from shortlist.llm.components import components
 from shortlist.session import durable, release
 
@@ -30,7 +31,7 @@ class Rule:
 
     shingle: int = 5
     percent: int = 80
-    miss: float = 1e-6
+    miss: float = 1e-5
 
     @property
     def chunks(self) -> int:
@@ -101,9 +102,15 @@ def _signer(shingle: int, symbols: int):
     return sign
 
 
-def _setter(shingle: int):
+def _setter(shingle: int, bits: int, held):
+    """Sets of the rows whose doc_id the filter holds; other texts are not looked at."""
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.frombuffer(held.value, np.uint8)
         for batch in batches:
+            batch = batch.filter(pc.is_valid(batch.column("doc_id")))
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(bloom.has(wanted, bloom.places_of_ids(ids, bits))))
             at = 0
             for values, edges in _sets(batch.column("text"), shingle):
                 n = len(edges) - 1
@@ -163,18 +170,22 @@ def _side(df: DataFrame, side: str, *same: str) -> DataFrame:
 
 def _compared(docs: DataFrame, reps: DataFrame, near: DataFrame, rule: Rule) -> DataFrame:
     """Each pair (a, b) of ``near`` with its full sets as set_a and set_b. The texts of all
-    documents in a pair are read again; other texts are not touched beyond the scan."""
-    wanted = near.select(F.col("a").alias("rep")).unionAll(near.select(F.col("b").alias("rep"))).distinct()
-    wanted = wanted.join(reps.select("rep", "h1", "h2"), "rep")
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(
-        wanted.select(F.col("rep").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
-    sets = texts.mapInArrow(_setter(rule.shingle), "doc_id long, h1 long, h2 long, shingles array<long>")
-    # a doc_id may come with other texts too; each wanted set is taken once
+    documents in a pair are read again; a filter of their ids keeps all others out of the work, and
+    no text is shuffled."""
+    side = lambda s: near.select(F.col(s).alias("doc_id"), F.lit(s == "a").alias("as_a"), F.lit(s == "b").alias("as_b"))
+    wanted = side("a").unionAll(side("b")).groupBy("doc_id").agg(F.max("as_a").alias("as_a"), F.max("as_b").alias("as_b"))
+    wanted = durable(wanted.join(reps.select(F.col("rep").alias("doc_id"), "h1", "h2"), "doc_id"))
+    bits, ids = bloom.of_ids(wanted.select("doc_id"))
+    held = docs.sparkSession.sparkContext.broadcast(ids)
+    sets = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        _setter(rule.shingle, bits, held), "doc_id long, h1 long, h2 long, shingles array<long>")
+    # repeated rows of a doc_id give the same set again; each is taken once
     sets = durable(
-        sets.join(wanted.withColumnRenamed("rep", "doc_id"), ["doc_id", "h1", "h2"])
-        .groupBy("doc_id").agg(F.first("shingles").alias("shingles"))
+        sets.join(_side(wanted, "w", "doc_id"), "doc_id").where("h1 = h1_w and h2 = h2_w")
+        .groupBy("doc_id").agg(F.first("shingles").alias("shingles"), F.max("as_a_w").alias("as_a"), F.max("as_b_w").alias("as_b"))
     )
-    a, b = (sets.select(F.col("doc_id").alias(s), F.col("shingles").alias(f"set_{s}")) for s in "ab")
+    release(wanted)
+    a, b = (sets.where(f"as_{s}").select(F.col("doc_id").alias(s), F.col("shingles").alias(f"set_{s}")) for s in "ab")
     return near.join(a, "a").join(b, "b")
 
 
@@ -223,28 +234,29 @@ def _links_by_differences(apart: DataFrame, placed: DataFrame, rule: Rule) -> Da
     groups = members.groupBy("b").agg(
         F.min("need").alias("least_need"), F.min("component").alias("lo"), F.max("component").alias("hi")
     ).where("lo < hi").select("b", "least_need")
-    # the differences as one sorted set: what a text lacks and what it adds never coincide
-    members = durable(
-        members.join(groups, "b").withColumn("differs", F.concat("lacks", "adds")).drop("lacks", "adds")
-    )
-    one = members.select("a", "b", F.explode("differs").alias("run"))
-    often = one.groupBy("b", "run").agg(F.count("*").alias("often")).where("often > 1")
+    # what a text lacks and what it adds never coincide
+    members = durable(members.join(groups, "b").withColumn("differs", F.concat("lacks", "adds")).drop("lacks", "adds"))
+    one = members.select("a", "b", "linked", F.explode("differs").alias("run"))
+    # every pair that is looked for has an unlinked text, so other runs can meet nobody
+    often = one.groupBy("b", "run").agg(F.count("*").alias("often"), F.count_if(~F.col("linked")).alias("unlinked"))
+    often = often.where("often > 1 and unlinked > 0").drop("unlinked")
     ordered = one.join(often, ["b", "run"]).groupBy("a", "b").agg(
         F.array_sort(F.collect_list(F.struct("often", "run"))).alias("common"))
     # a linked text is only compared with unlinked ones, whose need exceeds (100 - p) * size
     partner = F.when(F.col("linked"), (100 - p) * F.col("size") + 1).otherwise(F.col("least_need"))
     least = F.ceil((F.col("need") + partner) / F.lit(2 * (100 + p)))
-    # runs that no other text of the head differs in come first and can meet nobody
+    # runs that can meet nobody come first in the order and make no key; they never count as common either
     keys = F.size("common") - F.greatest(least, F.lit(1)) + 1
-    keyed = members.join(ordered, ["a", "b"]).where(keys > 0).select(
-        "a", "b", "need", "linked", "component", "differs",
+    light = members.select("a", "b", "size", "need", "least_need", "linked", "component")
+    keyed = light.join(ordered, ["a", "b"]).where(keys > 0).select(
+        "a", "b", "need", "linked", "component", F.transform("common", lambda c: c["run"]).alias("common"),
         F.explode(F.slice("common", F.lit(1), keys.cast("int"))).alias("at"),
     ).withColumn("run", F.col("at.run")).drop("at")
     u, v = _side(keyed, "u", "b", "run"), _side(keyed, "v", "b", "run")
     return (
         u.where("not linked_u").join(v, ["b", "run"])
         .where("component_u <> component_v and (linked_v or a_u > a_v)")
-        .where(2 * (100 + p) * F.size(F.array_intersect("differs_u", "differs_v")) >= F.col("need_u") + F.col("need_v"))
+        .where(2 * (100 + p) * F.size(F.array_intersect("common_u", "common_v")) >= F.col("need_u") + F.col("need_v"))
         .select(F.col("a_u").alias("a"), F.col("a_v").alias("b")).distinct()
     )
 
