@@ -17,9 +17,10 @@ from shortlist.llm import words
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6  # fixed: piece types of a model file
 UNIGRAM, BPE = 1, 2  # fixed: model types
+DECODE_IDS = 1 << 18
 UNKNOWN_PENALTY = 10.0  # fixed: an unknown character scores so much less than the worst piece
-CACHE_CHARS, CACHE_ENTRIES = 48, 1 << 19
-CACHE_PAIRS = 1 << 20
+CACHE_CHARS, CACHE_ENTRIES = 48, 240_000
+CACHE_PAIRS = 1 << 19
 
 
 class Codec:
@@ -56,6 +57,7 @@ class Codec:
                 node = node.setdefault(ch, [None, {}])[1]
             node.setdefault(piece[-1], [None, {}])[0] = i
         self.cache: dict[bytes, list[int]] = {}
+        self.older: dict[bytes, list[int]] = {}
         self.pairs: dict[int, bool] = {}
         self.edges: dict[int, tuple] = {}
 
@@ -137,10 +139,11 @@ class Codec:
 
     def pieces(self, text: str) -> Iterator[int]:
         """The pieces of an escaped text, each as soon as no continuation can change it."""
-        # of the positions from base on: start of the last piece, that piece, best sum
         n, size = len(text), len(self.text)
-        base, back, last, total = 0, [0], [-1], [0.0]
         trie, pairs, bpe, window = self.trie, self.pairs, self.bpe, 4 * self.longest
+        # of the positions from base on: start of the last piece, that piece, best sum
+        room = min(n, window + self.longest) + 1
+        base, back, last, total = 0, [-1] * room, [-1] * room, [0.0] * room
         for start in range(n):
             # every piece that could end here begins before, so this position's last piece is known
             at = start - base
@@ -159,12 +162,8 @@ class Codec:
                             continue
                         piece = size + ord(text[start])
                 to = end - base
-                while len(back) <= to:
-                    back.append(-1)
-                    last.append(-1)
-                    total.append(0.0)
                 if bpe:
-                    if back[to] < 0:
+                    if last[to] < 0:
                         if left < 0:
                             back[to], last[to] = start, piece
                         else:
@@ -178,28 +177,30 @@ class Codec:
                                 back[to], last[to] = start, piece
                 else:
                     value = total[at] + (self.score[piece] if piece < size else self.unknown_score)
-                    if back[to] < 0 or value > total[to]:
+                    if last[to] < 0 or value > total[to]:
                         back[to], last[to], total[to] = start, piece, value
             if at >= window:
-                meet = self._meeting(back, base, start)
+                meet = self._meeting(back, last, base, start)
                 if meet > base:
                     yield from self._path(back, last, base, meet)
                     # the piece before the meeting point stays known for what follows it
-                    back, last, total = back[meet - base :], last[meet - base :], total[meet - base :]
-                    base = meet
+                    done, base = meet - base, meet
+                    back, last, total = (x[done:] + [empty] * done for x, empty in ((back, -1), (last, -1), (total, 0.0)))
+                else:
+                    # nothing is decided yet: the window grows
+                    back, last, total = (x + [empty] * window for x, empty in ((back, -1), (last, -1), (total, 0.0)))
         yield from self._path(back, last, base, n)
 
-    def _meeting(self, back: list[int], base: int, end: int) -> int:
+    def _meeting(self, back: list[int], last: list[int], base: int, end: int) -> int:
         """The last position that the paths of all positions from which or beyond which the search
         goes on have in common."""
-        open_ = set(range(end + 1, base + len(back))) | {end}
-        open_ = {i for i in open_ if back[i - base] >= 0}
+        open_ = {end, *(i for i in range(end + 1, base + len(back)) if last[i - base] >= 0)}
         while len(open_) > 1:
-            last = max(open_)
-            if last == base:
+            top = max(open_)
+            if top == base:
                 break
-            open_.remove(last)
-            open_.add(max(back[last - base], base))
+            open_.remove(top)
+            open_.add(max(back[top - base], base))
         return min(open_)
 
     @staticmethod
@@ -267,19 +268,45 @@ class Codec:
     def _word_ids(self, word: bytes) -> list[int]:
         ids = self.cache.get(word)
         if ids is None:
-            ids = list(self._ids_of(self.pieces(word.decode().replace(" ", SPACE))))
+            # words that were not asked for since the cache was last full are forgotten
+            ids = self.older.get(word)
+            if ids is None:
+                ids = list(self._ids_of(self.pieces(word.decode().replace(" ", SPACE))))
             if len(word) <= CACHE_CHARS:
                 if len(self.cache) >= CACHE_ENTRIES:
-                    self.cache.clear()
+                    self.cache, self.older = {}, self.cache
                 self.cache[word] = ids
         return ids
 
     def decode(self, ids) -> str:
         """Text of ids; bytes that are no UTF-8 become replacement characters."""
-        surface = self.surface
-        text = b"".join([surface[i] for i in ids]).decode("utf-8", "replace")
+        return self._unescaped(b"".join([self.surface[i] for i in ids]))
+
+    def _unescaped(self, raw: bytes) -> str:
+        text = raw.decode("utf-8", "replace")
         return text[1:] if self.add_prefix and text[:1] == " " else text
 
+    def decode_column(self, column: pa.ListArray) -> pa.Array:
+        """Text of each row of ids: the pieces' bytes are gathered for many rows at once."""
+        lengths = np.array([len(x) for x in self.surface])
+        at = np.concatenate([[0], np.cumsum(lengths)])
+        table = np.frombuffer(b"".join(self.surface), np.uint8)
+        rows = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+        edges = np.concatenate([[0], np.cumsum(rows)])
+        ids, out = column.flatten().to_numpy(zero_copy_only=False), []
+        first = 0
+        while first < len(rows):
+            # a row, or as many as a bounded number of ids
+            last = max(int(np.searchsorted(edges, edges[first] + DECODE_IDS, "right")) - 1, first + 1)
+            own = ids[edges[first] : edges[last]]
+            sizes = lengths[own]
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            raw = table[np.repeat(at[own] - ends[:-1], sizes) + np.arange(ends[-1])].tobytes()
+            cuts = ends[edges[first : last + 1] - edges[first]].tolist()
+            out += [self._unescaped(raw[a:b]) for a, b in zip(cuts, cuts[1:])]
+            first = last
+        return pa.array(out, pa.string())
+
 
 def _with_column(docs: DataFrame, name: str, kind: T.DataType, values) -> DataFrame:
     kept = [c for c in docs.columns if c != name]
@@ -312,7 +339,6 @@ def decode(docs: DataFrame, model_path: str, ids: str = "ids", text: str = "deco
     held = docs.sparkSession.sparkContext.broadcast(Codec.load(model_path))
 
     def values(batch: pa.RecordBatch) -> pa.Array:
-        codec = held.value
-        return pa.array([codec.decode(v.as_py() or ()) for v in batch.column(ids)], pa.string())
+        return held.value.decode_column(batch.column(ids))
 
     return _with_column(docs, text, T.StringType(), values)
