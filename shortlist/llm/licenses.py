@@ -1,8 +1,8 @@
-"""Licence notices by sentences: known sentences become identifiers, rules are runs of identifiers."""
+"""Licence notices by sentences, wrapped or not: known ones become identifiers, rules are runs of identifiers."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shortlist.session import durable
@@ -65,45 +65,81 @@ RULES = [
 ]
 
 
-def normalised(sentence: Column) -> Column:
-    """Lower case, with every run of characters other than a-z and 0-9 as one blank."""
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+# marks in a text's normal form: the end of a line, of a sentence, and of a paragraph
+_LINE, _SENTENCE, _BLOCK = "\n", "\u0001", "\u0002"
 
 
-def split_sentences(text: Column) -> Column:
-    """Sentences end at a line's end and after . ! ? ; : followed by white space."""
-    return F.split(F.regexp_replace(text, r"([.!?;:])[ \t\r]+", "$1\n"), "\n")
+def marked(text: Column) -> Column:
+    """The normal form of a whole text: words of a-z and 0-9, and between them blanks and marks.
+
+    A sentence ends after . ! ? ; : followed by white space, a paragraph at a line without words.
+    Whatever stands before the first word of a line, such as a comment mark, goes.
+    """
+    out = F.lower(F.concat(F.lit("\n"), text, F.lit("\n")))
+    out = F.regexp_replace(out, r"\n[^a-z0-9\n]*+\n[^a-z0-9]*+", _BLOCK)
+    out = F.regexp_replace(out, r"\n[^a-z0-9\n]*+(?:(?:rem|dnl)[ \t]++)?", _LINE)
+    out = F.regexp_replace(out, r"[.!?;:][ \t\r\n][^a-z0-9\x02]*+", _SENTENCE)
+    return F.regexp_replace(out, r"[^a-z0-9\n\x01\x02]++", " ")
+
+
+def _single(form: Column) -> Column:
+    """``form`` with one character between two words: the strongest mark, or else a blank."""
+    return F.regexp_replace(F.regexp_replace(form, r"[ \n\x01]+(?=[\x01\x02])", ""), r" \n", _LINE)
+
+
+def _first_word(form: Column) -> Column:
+    return F.regexp_extract(form, "^[a-z0-9]+", 0)
 
 
 def known_sentences(spark: SparkSession, sentences: dict[str, str] = SENTENCES) -> DataFrame:
+    """sentence_id, its normal form with blanks for line ends, and its first word."""
     rows = spark.createDataFrame([(k, v) for k, v in sentences.items()], "sentence_id string, sentence string")
-    parts = rows.select("sentence_id", F.explode(split_sentences(F.col("sentence"))).alias("sentence"))
-    # a known text of several sentences stands for its longest, which identifies it
-    longest = parts.select("sentence_id", normalised(F.col("sentence")).alias("normal")).groupBy("sentence_id").agg(
-        F.max_by("normal", F.struct(F.length("normal"), "normal")).alias("normal"))
-    return longest
+    form = F.translate(_single(marked(F.col("sentence"))), _LINE, " ")
+    trimmed = rows.select("sentence_id", F.regexp_replace(form, r"^[ \x01\x02]+|[ \x01\x02]+$", "").alias("normal"))
+    return trimmed.where("normal <> ''").withColumn("word", _first_word(F.col("normal")))
 
 
 def license_scan(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: list = RULES) -> DataFrame:
     """doc_id, n_sentences (known ones), sentence_ids (in order), licenses (names, sorted, by comma).
 
-    A text is cut into sentences, each is normalised and looked up among the known sentences, and
-    the sequence of identifiers found is searched for each rule's sequence. A rule that is the start
+    A known sentence is found where its words follow one another, from the start of a line or
+    sentence to the end of one. Line ends and comment marks within it count as blanks, so wrapped
+    texts are read like others; a line without words ends every sentence. Where it has ends of
+    sentences itself, the text must have them too. What lies within a longer known sentence is not
+    found. The sequence of identifiers is searched for each rule's sequence. A rule that is the start
     of another one which holds for the same sentences is not reported, so the longer rule wins. Null and empty texts
     have no sentences. Rows with equal doc_id and text are one document and get a row each. Other
     columns are not read.
 
     The table of known sentences is a constant of this module or an argument, so it is broadcast.
+    Only pieces that begin with the first word of a known sentence become rows, each with as many
+    of the next pieces as the longest known sentence can span.
     """
     spark = docs.sparkSession
-    known = F.broadcast(known_sentences(spark, sentences))
+    table = known_sentences(spark, sentences)
+    most = table.agg(F.max(F.length("normal")), F.max(F.size(F.split("normal", r"[ \x01]"))), F.collect_set("word")).first()
+    longest, pieces, words = most[0] or 0, most[1] or 1, most[2]
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     keyed = rows.withColumn("_key", F.struct("doc_id", F.xxhash64("text")))
-    one = keyed.select("_key", F.posexplode_outer(split_sentences(F.col("text"))).alias("at", "sentence"))
+    cut = keyed.select("_key", F.split(marked(F.col("text")), r"(?<=[\n\x01\x02])").alias("pieces"))
+
+    def start(piece: Column, at: Column) -> Column:
+        rest = F.substring(F.array_join(F.slice("pieces", at + 1, pieces), ""), 1, longest + pieces + 1)
+        return F.when(_first_word(piece).isin(words), F.struct(at.alias("at"), rest.alias("rest")))
+
+    starts = cut.select("_key", F.explode(F.array_compact(F.transform("pieces", start))).alias("s"))
+    one = starts.select("_key", "s.at", _single(F.col("s.rest")).alias("rest")).withColumn("word", _first_word(F.col("rest")))
+    head = F.substring("rest", F.lit(1), F.length("normal") + 1)
+    ends = F.substring("rest", F.length("normal") + 1, F.lit(1)).isin("", _LINE, _SENTENCE, _BLOCK)
+    same = F.startswith(F.translate("rest", _LINE, " "), F.col("normal"))
     found = (
-        one.select("_key", "at", normalised(F.col("sentence")).alias("normal")).join(known, "normal")
-        .select("_key", "at", "sentence_id").distinct()
+        one.join(F.broadcast(table), "word").where(same & ends)
+        .select("_key", "at", (F.col("at") + F.greatest(F.length(F.regexp_replace(head, r"[^\n\x01\x02]", "")), F.lit(1))).alias("stop"), "sentence_id")
+        .groupBy("_key", "at", "stop").agg(F.collect_set("sentence_id").alias("ids"))
     )
+    before = Window.partitionBy("_key").orderBy("at", F.desc("stop")).rowsBetween(Window.unboundedPreceding, -1)
+    found = found.withColumn("reached", F.max("stop").over(before)).where("reached is null or stop > reached")
+    found = found.select("_key", "at", F.explode("ids").alias("sentence_id"))
     ordered = durable(
         found.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("at", "sentence_id"))).alias("hits"))
         .select(F.col("_key").alias("_found"), F.transform("hits", lambda h: h["sentence_id"]).alias("sentence_ids"))

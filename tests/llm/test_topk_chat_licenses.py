@@ -85,3 +85,68 @@ def test_licenses(docs):
         (1, "MIT", 1), (2, "Apache-2.0", 3), (3, "BSD-2-Clause", 3), (4, "BSD-3-Clause", 4), (5, "", 1), (6, "", 0), (7, "", 0),
         (8, "CC-BY-4.0", 1), (None, "GPL-3.0-only", 1), (9, "MIT,Proprietary", 3), (1, "MIT", 1)], key=str)
     assert licenses.license_scan(docs([])).count() == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+"""
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. {}. If a copy of the MPL was not distributed, ..."
+APACHE = """Licensed under the Apache License, Version 2.0
+(the "License"); you may not use this file except in compliance
+with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+
+
+def commented(text, mark, begin="", end=""):
+    return begin + "".join(f"{mark}{line}".rstrip() + "\n" for line in text.split("\n")) + end + "code();\n"
+
+
+def test_wrapped_licenses(docs):
+    s = licenses.SENTENCES
+    cc0 = s["cc0-1"].replace("law, ", "law,\r\n").replace("related ", "related\r\n")
+    rows = [
+        (1, MIT), (2, commented(MIT, "# ")), (3, commented(MIT, " * ", "/*\n", " */\n")), (4, BSD), (5, commented(BSD, "// ")), (6, GPL),
+        (7, commented(GPL, ";; ")), (8, MPL.format("2.0")), (9, MPL.format("1.1")), (10, cc0), (11, MIT.replace("\n", "\r\n")),
+        (12, "Heading\n" + s["mit-released"]), (13, "Released under the\n\nMIT License."), (14, "Released under. the MIT License."),
+        (15, APACHE), (16, commented(APACHE, "REM ")), (17, "never Released under\nthe MIT License."), (18, "Released under\nthe MIT License"),
+        (19, BSD + "\n3. " + s["bsd-endorse"].replace("may be", "may\n  be")), (20, "Released under\nthe MIT License only."),
+    ]
+    got = {r.doc_id: (r.licenses, r.n_sentences) for r in licenses.license_scan(docs(rows)).collect()}
+    gpl, bsd, apache = ("GPL-3.0-or-later", 2), ("BSD-2-Clause", 3), ("Apache-2.0", 3)
+    assert got == {
+        1: ("MIT", 2), 2: ("MIT", 2), 3: ("MIT", 2), 4: bsd, 5: bsd, 6: gpl, 7: gpl, 8: ("MPL-2.0", 1), 9: ("", 0), 10: ("CC0-1.0", 1), 11: ("MIT", 2),
+        12: ("MIT", 1), 13: ("", 0), 14: ("", 0), 15: apache, 16: apache, 17: ("", 0), 18: ("MIT", 1), 19: ("BSD-3-Clause", 4), 20: ("", 0)}
