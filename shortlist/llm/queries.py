@@ -126,7 +126,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_span_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = span_dedup.drop_repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = span_dedup.drop_repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_sentences", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

@@ -59,7 +59,7 @@ def sentences(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _spans(raw: np.ndarray, offsets: np.ndarray, run: int, min_words: int):
-    """Text number, place and two hashes of every run that counts."""
+    """Text number, place, size and two hashes of every run that counts."""
     _, hashes, counts, bounds = sentences(raw, offsets)
     spans, edges = words.window_hashes(hashes, bounds, run)
     per_text = np.diff(edges)
@@ -69,19 +69,40 @@ def _spans(raw: np.ndarray, offsets: np.ndarray, run: int, min_words: int):
     size = np.minimum(np.repeat(np.diff(bounds), per_text), run)
     total = np.concatenate([[0], np.cumsum(counts)])
     kept = np.flatnonzero((size == run) & (total[first + size] - total[first] >= min_words))
-    return text[kept], place[kept], spans[kept], words.mix(spans[kept] + hashes[first[kept]])
+    return text[kept], place[kept], size[kept], spans[kept], words.mix(spans[kept] + hashes[first[kept]])
+
+
+def _long_spans(raw: np.ndarray, offsets: np.ndarray, run: int, min_words: int):
+    """Text number, place, size and two hashes of the shortest runs that count from and up to every sentence.
+
+    A run has at least ``run`` sentences and ``min_words`` words. Those that begin at a sentence
+    reach all but the end of a passage, those that end at one reach its end too.
+    """
+    _, hashes, counts, bounds = sentences(raw, offsets)
+    n = len(hashes)
+    total = np.concatenate([[0], np.cumsum(counts)])
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    at = np.arange(n)
+    stop = np.maximum(at + run, np.searchsorted(total, total[:-1] + min_words))
+    start = np.minimum(at + 1 - run, np.searchsorted(total, total[1:] - min_words, "right") - 1)
+    ahead, back = stop <= bounds[text + 1], start >= bounds[text]
+    pairs = np.unique(np.concatenate([at[ahead] * (n + 1) + stop[ahead], start[back] * (n + 1) + at[back] + 1]))
+    first, end = pairs // (n + 1), pairs % (n + 1)
+    h1 = words.range_hashes(hashes, first, end)
+    h2 = words.range_hashes(words.mix(hashes + np.uint64(1)), first, end)
+    return text[first], first - bounds[text[first]], end - first, h1, h2
 
 
 def _digests(h1: np.ndarray, h2: np.ndarray) -> bytes:
     return np.stack([h1, h2], 1).tobytes()
 
 
-def _filters(bits: int, run: int, min_words: int):
+def _filters(bits: int, spans, run: int, min_words: int):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
         for batch in batches:
             for _, _, raw, offsets in words.chunks(batch.column("text")):
-                _, _, h1, h2 = _spans(raw, offsets, run, min_words)
+                _, _, _, h1, h2 = spans(raw, offsets, run, min_words)
                 _, where, n = np.unique(h1, return_index=True, return_counts=True)
                 at = bloom.places(_digests(h1[where], h2[where]), bits)
                 bloom.put(twice, at[bloom.has(once, at) | (n > 1)])
@@ -91,20 +112,20 @@ def _filters(bits: int, run: int, min_words: int):
     return build
 
 
-def _suspects(run: int, min_words: int, bits: int, held):
+def _suspects(spans, run: int, min_words: int, bits: int, held):
     """Runs that the filter of repeated ones holds."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeated = np.frombuffer(held.value, np.uint8)
         for batch in batches:
             for begin, last, raw, offsets in words.chunks(batch.column("text")):
-                text, place, h1, h2 = _spans(raw, offsets, run, min_words)
+                text, place, size, h1, h2 = spans(raw, offsets, run, min_words)
                 hit = bloom.has(repeated, bloom.places(_digests(h1, h2), bits)) if len(h1) else np.zeros(0, bool)
                 of = pa.array(text[hit] + begin)
                 yield pa.record_batch(
-                    [batch.column("doc_id").take(of), batch.column("text_hash").take(of), pa.array(place[hit].astype(np.int32)),
+                    [batch.column("doc_id").take(of), batch.column("text_hash").take(of), pa.array(place[hit].astype(np.int32)), pa.array(size[hit].astype(np.int32)),
                      pa.array(h1[hit].view(np.int64)), pa.array(h2[hit].view(np.int64))],
-                    names=["doc_id", "text_hash", "place", "h1", "h2"],
+                    names=["doc_id", "text_hash", "place", "size", "h1", "h2"],
                 )
 
     return hashed
@@ -147,19 +168,32 @@ def drop_repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WO
     place. How often one occurs and where first is combined before the shuffle, so a passage in any
     share of the texts meets no single task.
     """
+    return _drop(docs, _spans, run, min_words)
+
+
+def drop_repeated_passages(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
+    """As ``drop_repeated_spans``, but runs grow past ``run`` sentences until they have ``min_words`` words.
+
+    So of every passage that is repeated with its sentences, and has at least ``run`` sentences and
+    ``min_words`` words, all sentences but those of the first occurrence go, short as they may be.
+    """
+    return _drop(docs, _long_spans, run, min_words)
+
+
+def _drop(docs: DataFrame, spans, run: int, min_words: int) -> DataFrame:
     names = docs.columns
     docs = pack(docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string")), "doc_id", "text")
     text = F.coalesce("text", F.lit("")).alias("text")
     texts = docs.select("doc_id", text).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     bits = bloom.size_for(docs.count(), BITS_PER_DOCUMENT)
-    pieces = texts.select("text").mapInArrow(_filters(bits, run, min_words), bloom.PIECES)
+    pieces = texts.select("text").mapInArrow(_filters(bits, spans, run, min_words), bloom.PIECES)
     held = docs.sparkSession.sparkContext.broadcast(bloom.collect(pieces, bits, "twice"))
-    runs = durable(texts.mapInArrow(_suspects(run, min_words, bits, held), "doc_id long, text_hash long, place int, h1 long, h2 long"))
+    runs = durable(texts.mapInArrow(_suspects(spans, run, min_words, bits, held), "doc_id long, text_hash long, place int, size int, h1 long, h2 long"))
     where = F.struct("doc_id", "text_hash", "place")
     often = runs.groupBy("h1", "h2").agg(F.min(where).alias("first"), F.max(where).alias("last"))
     often = durable(often.where("first <> last").select("h1", "h2", "first"))
     covered = runs.join(often, ["h1", "h2"]).where(where != F.col("first"))
-    gone = covered.select("doc_id", "text_hash", F.explode(F.sequence(F.col("place"), F.col("place") + run - 1)).alias("place"))
+    gone = covered.select("doc_id", "text_hash", F.explode(F.sequence(F.col("place"), F.col("place") + F.col("size") - 1)).alias("place"))
     gone = durable(gone.groupBy(F.struct("doc_id", "text_hash").alias("_of")).agg(F.array_sort(F.collect_set("place")).alias("_gone")))
     release(often, runs)
     keyed = docs.withColumn("_key", F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")))

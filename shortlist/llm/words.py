@@ -108,3 +108,11 @@ def window_hashes(words: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.
         step = mix(out ^ words[np.minimum(at + k, n - 1)])
         out = step if counts.min() >= size else np.where(k < length, step, out)
     return out, edges
+
+
+def range_hashes(words: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each run of words from ``first`` to before ``end``, whatever their numbers."""
+    powers, inverse = _power_tables(len(words) + 1)
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * powers[:-1], out=sums[1:])
+    return mix((sums[end] - sums[first]) * inverse[first] + (end - first).astype(np.uint64))

@@ -75,3 +75,19 @@ def test_edge_rows(docs):
     assert table(got) == brute(rows)
     assert got.columns == [*frame.columns, "n_sentences", "n_removed"]
     assert span_dedup.drop_repeated_spans(docs([]), RUN, MIN_WORDS).count() == 0
+
+
+def test_lists_of_short_lines(docs):
+    rng = random.Random(8)
+    items = ["\n".join(f"{a}{i} {b}{i}" for i, (a, b) in enumerate(zip(rng.choices("abcd", k=30), rng.choices("efgh", k=30)))) for _ in range(2)]
+    tail = "A sentence of twelve words is the last long one in here today. Then two. Or three. Or four."
+    rows = [(1, f"One intro\n{items[0]}\nend one"), (2, f"Another begin\n{items[0]}\nsecond end"), (3, f"Third\n{items[1]}"),
+            (4, f"Only here. {tail}"), (5, f"And there! {tail} Five\nsix")]
+    got = {r.doc_id: r.text for r in span_dedup.drop_repeated_passages(docs(rows)).collect()}
+    assert got[1] == rows[0][1] and got[3] == rows[2][1] and got[4] == rows[3][1]
+    assert words_of(got[2]) == ["another", "begin", "second", "end"]
+    assert words_of(got[5]) == ["and", "there", "five", "six"]
+
+
+def words_of(text):
+    return [w for s in [text] for w in key(s)]
