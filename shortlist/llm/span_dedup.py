@@ -18,26 +18,34 @@ from shortlist.session import durable, release
 RUN = 4  # sentences in a span
 MIN_WORDS = 12  # shorter spans are common phrases, not passages
 CLAUSE = 4  # one word in so many also ends a sentence
+PASSAGE_RUN = 3  # whole sentences in a passage, at least
+LONG = 64  # words; longer sentences, as of texts without punctuation, are cut further
+LONG_CUT = 16  # after one word in so many
 BITS_PER_DOCUMENT = 512
 
 _END = np.zeros(256, bool)
 _END[[0x21, 0x2E, 0x3F]] = True  # ! . ?
 
 
-def sentences(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def sentences(raw: np.ndarray, offsets: np.ndarray, clause: int = CLAUSE, long: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Ends, hashes and word counts of the sentences, and where each text's sentences begin.
 
-    A sentence ends before a line break, after . ! or ? with white space behind it, after a word
-    whose hash is a multiple of ``CLAUSE``, and with its text. The last kind of end cuts sentences
-    of any length the same way wherever they stand, so a passage within a longer sentence has
-    sentences of its own. What has no word belongs to the sentence before it, or to the first one.
+    A sentence ends before a line break, after . ! or ? with white space behind it, and with its
+    text. One of more than ``long`` words also ends after each word whose hash is a multiple of
+    ``clause``. This kind of end cuts the same words the same way wherever they stand, so a passage
+    within a longer sentence has sentences of its own. What has no word belongs to the sentence
+    before it, or to the first one.
     """
     starts, stops, word_bounds = words.word_spans(raw, offsets, words.WORD)
     hashes = words.word_hashes(raw, starts, stops)
     cut = np.zeros(len(raw) + 1, bool)
     cut[1:-1] = (_END[raw[:-1]] & words.SPACE[raw[1:]]) | (raw[1:] == 0x0A)
-    cut[stops[hashes % np.uint64(CLAUSE) == 0]] = True
     cut[offsets] = True
+    cuts = hashes % np.uint64(clause) == 0
+    if long:
+        of = np.searchsorted(np.flatnonzero(cut), stops)
+        cuts &= (np.bincount(of) > long)[of]
+    cut[stops[cuts]] = True
     points = np.flatnonzero(cut)
     points = points[points > 0]
     text_end = np.zeros(len(raw) + 1, bool)
@@ -58,6 +66,10 @@ def sentences(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return ends, words.mix(sums[last] - sums[first]), counts, np.searchsorted(ends, offsets, "right")
 
 
+def whole_sentences(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    return sentences(raw, offsets, LONG_CUT, LONG)
+
+
 def _spans(raw: np.ndarray, offsets: np.ndarray, run: int, min_words: int):
     """Text number, place, size and two hashes of every run that counts."""
     _, hashes, counts, bounds = sentences(raw, offsets)
@@ -73,12 +85,12 @@ def _spans(raw: np.ndarray, offsets: np.ndarray, run: int, min_words: int):
 
 
 def _long_spans(raw: np.ndarray, offsets: np.ndarray, run: int, min_words: int):
-    """Text number, place, size and two hashes of the shortest runs that count from and up to every sentence.
+    """Text number, place, size and two hashes of the shortest runs that count from and up to every whole sentence.
 
     A run has at least ``run`` sentences and ``min_words`` words. Those that begin at a sentence
     reach all but the end of a passage, those that end at one reach its end too.
     """
-    _, hashes, counts, bounds = sentences(raw, offsets)
+    _, hashes, counts, bounds = whole_sentences(raw, offsets)
     n = len(hashes)
     total = np.concatenate([[0], np.cumsum(counts)])
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -131,10 +143,10 @@ def _suspects(spans, run: int, min_words: int, bits: int, held):
     return hashed
 
 
-def _cut(text: str, gone) -> tuple[str, int]:
+def _cut(text: str, gone, cutter=sentences) -> tuple[str, int]:
     """The text without the sentences whose numbers are in ``gone``, and the number of sentences."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    ends = sentences(raw, np.array([0, len(raw)]))[0]
+    ends = cutter(raw, np.array([0, len(raw)]))[0]
     if len(ends) == 0:
         return text, 0
     if gone is None or len(gone) == 0:
@@ -147,10 +159,12 @@ def _cut(text: str, gone) -> tuple[str, int]:
     return b"".join(raw[edges[i] : edges[i + 1]].tobytes() for i in np.flatnonzero(~drop)).decode("utf-8", "surrogatepass"), len(ends)
 
 
-@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_sentences", T.LongType())]))
-def _without(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
-    rows = [_cut(t, g) for t, g in zip(texts, gone)]
-    return pd.DataFrame(rows, columns=["text", "n_sentences"])
+def _without(cutter):
+    @F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_sentences", T.LongType())]))
+    def without(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_cut(t, g, cutter) for t, g in zip(texts, gone)], columns=["text", "n_sentences"])
+
+    return without
 
 
 def drop_repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
@@ -168,19 +182,22 @@ def drop_repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WO
     place. How often one occurs and where first is combined before the shuffle, so a passage in any
     share of the texts meets no single task.
     """
-    return _drop(docs, _spans, run, min_words)
+    return _drop(docs, sentences, _spans, run, min_words)
 
 
-def drop_repeated_passages(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
-    """As ``drop_repeated_spans``, but runs grow past ``run`` sentences until they have ``min_words`` words.
+def drop_repeated_passages(docs: DataFrame, run: int = PASSAGE_RUN, min_words: int = MIN_WORDS) -> DataFrame:
+    """As ``drop_repeated_spans``, but of whole sentences, in runs that grow until they have ``min_words`` words.
 
     So of every passage that is repeated with its sentences, and has at least ``run`` sentences and
     ``min_words`` words, all sentences but those of the first occurrence go, short as they may be.
+    A sentence goes as a whole; words shared inside different sentences stay. Only sentences of
+    more than ``LONG`` words are cut further, after one word in ``LONG_CUT``; parts of a repeated
+    passage at the edges of such a cut stay.
     """
-    return _drop(docs, _long_spans, run, min_words)
+    return _drop(docs, whole_sentences, _long_spans, run, min_words)
 
 
-def _drop(docs: DataFrame, spans, run: int, min_words: int) -> DataFrame:
+def _drop(docs: DataFrame, cutter, spans, run: int, min_words: int) -> DataFrame:
     names = docs.columns
     docs = pack(docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string")), "doc_id", "text")
     text = F.coalesce("text", F.lit("")).alias("text")
@@ -198,7 +215,7 @@ def _drop(docs: DataFrame, spans, run: int, min_words: int) -> DataFrame:
     release(often, runs)
     keyed = docs.withColumn("_key", F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")))
     joined = keyed.join(gone.hint("shuffle_hash"), F.col("_key") == F.col("_of"), "left")
-    cut = joined.withColumn("_cut", _without(F.coalesce("text", F.lit("")), F.col("_gone")))
+    cut = joined.withColumn("_cut", _without(cutter)(F.coalesce("text", F.lit("")), F.col("_gone")))
     reduced = cut.select(
         "doc_id", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.col("_cut.text")).alias("text"), "_rest",
         F.col("_cut.n_sentences").alias("n_sentences"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),

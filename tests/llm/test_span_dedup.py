@@ -91,3 +91,19 @@ def test_lists_of_short_lines(docs):
 
 def words_of(text):
     return [w for s in [text] for w in key(s)]
+
+
+def test_words_shared_inside_other_sentences_stay(docs):
+    shared = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, f"Ann said {shared} at home. Then she left."), (2, f"Bob wrote {shared} to me! Nobody read it."), (3, "One two three. Four five six! Seven eight nine ten eleven twelve."),
+            (4, "Begin it. One two three. Four five six! Seven eight nine ten eleven twelve. End it.")]
+    got = {r.doc_id: (r.text, r.n_sentences, r.n_removed) for r in span_dedup.drop_repeated_passages(docs(rows)).collect()}
+    assert got == {1: (rows[0][1], 2, 0), 2: (rows[1][1], 2, 0), 3: (rows[2][1], 3, 0), 4: ("Begin it. End it.", 5, 3)}
+
+
+def test_passage_of_a_text_without_punctuation(docs):
+    shared = " ".join(f"word{i}" for i in range(400))
+    own = [" ".join(f"{a}{i}" for i in range(100)) for a in "abcd"]
+    rows = [(1, f"{own[0]} {shared} {own[1]}"), (2, f"{own[2]} {shared} {own[3]}")]
+    got = {r.doc_id: key(r.text) for r in span_dedup.drop_repeated_passages(docs(rows)).collect()}
+    assert got[1] == key(rows[0][1]) and set(key(own[2]) + key(own[3])) <= set(got[2]) and len(got[2]) < 350
