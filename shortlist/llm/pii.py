@@ -71,12 +71,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _entity(text: str, start: int, kind: int, end: int) -> str:
+    return f"{KINDS[kind]}:{text[start:end].lower()}"
+
+
 def _near_words(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, int, int, int]]:
     """(entity, word hash, start, end) of the words beside each entity on its line, outside all entities."""
     out = []
     taken = [(s, e) for s, _, e in spans]
     for start, kind, end in spans:
-        entity = f"{KINDS[kind]}:{text[start:end].lower()}"
+        entity = _entity(text, start, kind, end)
         # a bounded piece of the line on each side holds the words that count
         left = max(text.rfind("\n", max(0, start - 400), start) + 1, start - 400, 0)
         stop = text.find("\n", end, end + 400)
@@ -106,7 +110,7 @@ def _hashes(terms: list[str]) -> list[int]:
 
 _FOUND = (
     "doc_id long, text_hash long, counts array<long>, spans array<struct<start:int,kind:int,end:int>>,"
-    " near array<struct<entity:string,term:long,start:int,end:int>>"
+    " entities array<string>, near array<struct<entity:string,term:long,start:int,end:int>>"
 )
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
 _NEAR = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
@@ -114,16 +118,18 @@ _NEAR = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.int64()), ("sta
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts, spans, near = [], [], []
+        counts, spans, entities, near = [], [], [], []
         for value in batch.column("text"):
             text = value.as_py() or ""
             own = base_spans(text)
             counts.append([sum(k == kind for _, k, _ in own) for kind in range(4)])
             spans.append([{"start": s, "kind": k, "end": e} for s, k, e in own])
+            entities.append(sorted({_entity(text, *x) for x in own}))
             near.append([{"entity": x, "term": t, "start": s, "end": e} for x, t, s, e in _near_words(text, own)])
         yield pa.record_batch(
-            [batch.column("doc_id"), batch.column("text_hash"), pa.array(counts, pa.list_(pa.int64())), pa.array(spans, _SPANS), pa.array(near, _NEAR)],
-            names=["doc_id", "text_hash", "counts", "spans", "near"],
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(counts, pa.list_(pa.int64())), pa.array(spans, _SPANS),
+             pa.array(entities, pa.list_(pa.string())), pa.array(near, _NEAR)],
+            names=["doc_id", "text_hash", "counts", "spans", "entities", "near"],
         )
 
 
@@ -198,7 +204,8 @@ def disclosures(docs: DataFrame, found: DataFrame, min_docs: int = MIN_DOCS, thr
     beside = found.select("doc_id", "text_hash", F.explode("near").alias("w")).select(
         "doc_id", "text_hash", F.col("w.entity").alias("entity"), F.col("w.term").alias("term")).distinct()
     both = durable(beside.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= min_docs))
-    holds = beside.select("doc_id", "text_hash", "entity").distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
+    # also where the entity has no word beside it
+    holds = found.select("doc_id", "text_hash", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
     wanted = spark.sparkContext.broadcast(_bitmap(both.select("term").distinct()))
     terms = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(
         _term_counter(wanted), "term long, docs long")

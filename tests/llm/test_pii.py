@@ -74,3 +74,14 @@ def test_sanitise_keeps_columns(docs):
     out = pii.sanitise(frame)
     assert out.columns == frame.columns
     assert {r.doc_id: r.text for r in out.select("doc_id", "text").orderBy(F.col("doc_id")).collect()} == {1: "<EMAIL> <IP>", 2: None}
+
+
+def test_entity_that_mostly_stands_alone(docs):
+    rows = [(i, "info@x.org") for i in range(18)] + [(18 + i, "ask Smithson info@x.org") for i in range(2)]
+    rows += [(20 + i, "Smithson again") for i in range(2)] + [(22 + i, "ask again") for i in range(78)]
+    frame = docs(rows)
+    found = pii._texts(frame).mapInArrow(pii._find, pii._FOUND)
+    got = {(r.entity, r.term): r.disclosure for r in pii.disclosures(frame, found, 2, 0.0).collect()}
+    want = math.log(2 * 100 / (4 * 20)) / math.log(100 / 20)
+    assert abs(got["email:info@x.org", pii._hashes(["smithson"])[0]] - want) < 1e-9 and want < pii.DISCLOSURE
+    assert {r.doc_id: r.text for r in pii.sanitise(frame).collect()}[18] == "ask Smithson <EMAIL>"
