@@ -16,6 +16,7 @@ from shortlist.llm import (
     licenses,
     line_dedup,
     near_dup,
+    periodic_runs,
     pii,
     quality,
     sentencepiece_codec,
@@ -192,3 +193,51 @@ _WORDS = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_RUN_CRC = """bits(doc_id, s, pos, step, crc) AS (
+          SELECT doc_id, doc_id::VARCHAR, 1, 0, 4294967295::BIGINT FROM documents WHERE doc_id IS NOT NULL
+          UNION ALL
+          SELECT doc_id, s, pos + (step = 8)::INTEGER, CASE WHEN step = 8 THEN 0 ELSE step + 1 END,
+                 CASE WHEN step = 0 THEN xor(crc, ascii(substr(s, pos, 1))::BIGINT)
+                      WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384::BIGINT) ELSE crc // 2 END
+          FROM bits WHERE pos <= length(s)),
+        hashed AS (SELECT doc_id, xor(crc, 4294967295::BIGINT) AS h FROM bits WHERE pos > length(s))"""
+
+
+@query(
+    "op12_periodic_runs",
+    f"""WITH RECURSIVE {_RUN_CRC},
+        split AS (SELECT DISTINCT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sized AS (SELECT doc_id, w, len(w) AS n, h, h // 10 AS g FROM split JOIN hashed USING (doc_id)),
+        cut AS (SELECT doc_id, w, n, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n ELSE n END AS a, g FROM sized),
+        placed AS (SELECT doc_id, n, i, w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END] AS word
+                   FROM (SELECT *, unnest(range(0, n)) AS i FROM cut)),
+        same AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM placed x JOIN placed y
+                 ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+        stretch AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS len FROM (
+                      SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same) GROUP BY doc_id, q, island),
+        wide AS (SELECT * FROM stretch WHERE len >= greatest(6, 4 * q)),
+        runs AS (SELECT * FROM wide r WHERE NOT EXISTS (
+                   SELECT 1 FROM wide p WHERE p.doc_id = r.doc_id AND p.q < r.q AND p.s <= r.s AND p.s + p.len >= r.s + r.len)),
+        best AS (SELECT doc_id, s, len, q FROM (
+                   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY len::DOUBLE / q DESC, s, q) AS r FROM runs) WHERE r = 1),
+        digest AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM runs GROUP BY doc_id),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM runs),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, len::BIGINT AS length, q::BIGINT AS period,
+               (1000 * len // q)::BIGINT AS exponent_milli, sha256(coalesce(g.t, '')) AS runs_sha256, sha256(coalesce(k.t, '')) AS collapsed_sha256
+        FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN digest g USING (doc_id) LEFT JOIN kept k USING (doc_id)""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.periodic_runs(periodic_runs.with_looping_tails(docs)).drop("text")
+    # greatest length / period, compared as products of whole numbers
+    ahead = lambda a, b: (b["period"] * a["length"] > a["period"] * b["length"])
+    best = F.aggregate(F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))), F.try_element_at("runs", F.lit(1)), lambda top, r: F.when(ahead(r, top), r).otherwise(top))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select("*", best.alias("best")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
