@@ -13,6 +13,7 @@ from shortlist.llm import (
     block_topk,
     chat,
     decontaminate,
+    histogram_shards,
     licenses,
     line_dedup,
     near_dup,
@@ -241,3 +242,50 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+# crc32 is linear: every byte adds what its bits have become after the bytes that follow it, first within
+# 256 bytes counted from the end, then in steps of 256; the starting value is one more such term
+_TEXT_CRC = """steps(v, step, c) AS (
+          SELECT i, 0, i::BIGINT FROM range(256) r(i)
+          UNION ALL SELECT v, step + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END FROM steps WHERE step < 8),
+        lut AS (SELECT list(c ORDER BY v) AS t FROM steps WHERE step = 8),
+        near(k, s) AS (
+          SELECT 0, list_append(list_transform(range(32), lambda i: 1::BIGINT << i), 4294967295)
+          UNION ALL SELECT k + 1, list_transform(s, lambda x: xor(x // 256, t[1 + x % 256])) FROM near, lut WHERE k < 256),
+        jump AS (SELECT s AS m FROM near WHERE k = 256),
+        far(j, s) AS (
+          SELECT 0, list_transform(range(32), lambda i: 1::BIGINT << i)
+          UNION ALL
+          SELECT j + 1, list_transform(s, lambda v: list_reduce(list_transform(range(32), lambda i: (v >> i & 1) * m[i + 1]), lambda x, y: xor(x, y)))
+          FROM far, jump WHERE j < (SELECT max(strlen(text)) // 256 + 1 FROM documents)),
+        codes AS (SELECT printf('%02X', i) AS x, i AS b FROM range(256) r(i)),
+        pairs AS (SELECT DISTINCT doc_id, strlen(coalesce(text, '')) AS n, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS p FROM documents),
+        each AS (SELECT doc_id, n, unnest(p) AS x, generate_subscripts(p, 1) AS i FROM pairs),
+        terms AS (
+          SELECT doc_id, (n - i) // 256 AS j, bit_xor(xor(xor(xor((b & 1) * s[1], (b >> 1 & 1) * s[2]), xor((b >> 2 & 1) * s[3], (b >> 3 & 1) * s[4])),
+                   xor(xor((b >> 4 & 1) * s[5], (b >> 5 & 1) * s[6]), xor((b >> 6 & 1) * s[7], (b >> 7 & 1) * s[8])))) AS v
+          FROM each JOIN codes USING (x) JOIN near ON k = (n - i) % 256 + 1 GROUP BY ALL
+          UNION ALL SELECT doc_id, n // 256, s[33] FROM pairs JOIN near ON k = n % 256),
+        crc AS (SELECT doc_id, xor(bit_xor(list_reduce(list_transform(range(32), lambda i: (v >> i & 1) * s[i + 1]), lambda x, y: xor(x, y))), 4294967295::BIGINT) AS text_crc32
+                FROM terms JOIN far USING (j) GROUP BY doc_id)"""
+
+
+@query(
+    "op13_shards",
+    f"""WITH RECURSIVE {_TEXT_CRC},
+        d AS (SELECT doc_id, md5(coalesce(text, '')) AS k, strlen(coalesce(text, '')) + 1 AS size FROM documents),
+        o AS (SELECT *, coalesce(sum(size) OVER (ORDER BY k, doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+                     sum(size) OVER () AS total FROM d),
+        p AS (SELECT *, (16 * before // total)::INTEGER AS shard FROM o)
+        SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
+               (row_number() OVER (PARTITION BY shard ORDER BY k, doc_id NULLS FIRST) - 1)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+        FROM p JOIN crc USING (doc_id)""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of near equal bytes; the law does not foresee a further shard, so ``grown_shard`` is null."""
+    out = histogram_shards.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id", histogram_shards.size_of(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
