@@ -72,14 +72,14 @@ def hadoop_path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to shared storage and read it back: later steps do not repeat the work, and a
-    lost executor cannot change it. The table goes with ``release``, at the latest when the
+def durable(df: DataFrame, *by: str) -> DataFrame:
+    """Write ``df`` to shared storage, in folders by the columns ``by``, and read it back: later steps
+    do not repeat the work, and a lost executor cannot change it. The table goes with ``release``, at the latest when the
     application ends."""
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/tables-{spark.sparkContext.applicationId}"
     path = f"{folder}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     p, fs = hadoop_path(spark, folder)
     fs.deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(path)
