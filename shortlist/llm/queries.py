@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shortlist.llm import (
     block_topk,
     chat,
+    collocations,
     decontaminate,
     histogram_shards,
     licenses,
@@ -289,3 +290,30 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", histogram_shards.size_of(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
         F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query(
+    "op11_collocations",
+    f"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, {_LOWER.format("coalesce(text, '')")} AS t FROM documents),
+        pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+        w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+        sized AS (SELECT lang, w, unnest([1, 2, 3, 4]) AS k FROM w),
+        grams AS (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM sized WHERE len(w) >= k),
+        f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL),
+        n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND f >= 30),
+        cut AS (SELECT *, unnest(range(1, k)) AS j FROM c),
+        s AS (SELECT cut.lang, cut.phrase, cut.a, j, x.f AS l, y.f AS r, 2000000 * cut.a // (x.f + y.f) AS score FROM cut
+              JOIN f x ON x.lang = cut.lang AND x.k = j AND x.phrase = array_to_string(w[1:j], ' ')
+              JOIN f y ON y.lang = cut.lang AND y.k = cut.k - j AND y.phrase = array_to_string(w[j + 1:cut.k], ' ')),
+        best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS o FROM s) WHERE o = 1),
+        sub AS (SELECT lang, a, w, k, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c)),
+        inside AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer FROM sub GROUP BY ALL),
+        listed AS (SELECT best.*, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, best.a DESC, best.phrase) AS rank
+                   FROM best LEFT JOIN inside ON inside.lang = best.lang AND inside.phrase = best.phrase
+                   WHERE coalesce(100 * longer < 80 * best.a, true))
+        SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+        FROM listed JOIN n USING (lang) WHERE rank <= 2000""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
