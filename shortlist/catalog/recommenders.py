@@ -306,24 +306,53 @@ def knn_join(spark, d):
 
 
 def knn_inputs(spark, d):
-    """Training rows: the log with standardized user and item numbers; candidates: random items per user."""
+    """The log, the parts of a point that users and items give (standardized numbers), and the training rows."""
     log, users, items = inputs(spark, d)
     u = feat.standard_scaled(users.select("user_idx", "income"), ["income"])
     i = feat.standard_scaled(items.select("item_idx", "price", "size"), ["price", "size"])
-    vec = F.array("income", "price", "size")
     pairs = log.groupBy("user_idx", "item_idx").agg(F.max("relevance").alias("label"))
     train = pairs.join(u, "user_idx").join(i, "item_idx").select(
-        F.concat_ws(":", "user_idx", "item_idx").alias("row_id"), vec.alias("vec"), "label"
+        F.concat_ws(":", "user_idx", "item_idx").alias("row_id"), F.array("income", "price", "size").alias("vec"), "label"
     )
-    candidates = rec.random_candidates(users, items, N_CANDIDATES, SEED).join(u, "user_idx").join(i, "item_idx")
-    return log, candidates.select("user_idx", "item_idx", vec.alias("vec")), train
+    return log, u.select("user_idx", F.array("income").alias("vec")), i.select("item_idx", F.array("price", "size").alias("vec")), train
+
+
+_SCALED = "({0} - (SELECT avg({0}) FROM {1})) / (SELECT stddev_pop({0}) FROM {1})"
+VIEWS["user_points"] = (("users",), f"SELECT user_idx, {_SCALED.format('income', 'users')} AS x FROM users")
+VIEWS["item_points"] = (("items",), f"SELECT item_idx, {_SCALED.format('price', 'items')} AS y, {_SCALED.format('size', 'items')} AS z FROM items")
+# rows are numbered by their text id, in which ties of the distance are broken
+VIEWS["points"] = (
+    ("log", "user_points", "item_points"),
+    """SELECT user_idx || ':' || item_idx AS row_id, row_number() OVER (ORDER BY user_idx || ':' || item_idx) AS row_no, x, y, z, label
+       FROM (SELECT user_idx, item_idx, max(relevance) AS label FROM log GROUP BY ALL)
+       JOIN user_points USING (user_idx) JOIN item_points USING (item_idx)""",
+)
+# distance in 1e-9, row (the larger first) and label of a training row t seen from a point c, in one number
+NEAR_SQL = """round(sqrt((c.x - t.x) * (c.x - t.x) + (c.y - t.y) * (c.y - t.y) + (c.z - t.z) * (c.z - t.z)) * 1e9)::BIGINT * 2097152
+              + (1048575 - t.row_no) * 2 + t.label"""
+FAR_SQL, LABEL_SQL = "((n // 2097152) / 1e9)", "(n % 2)"
 
 
-@query("rec_knn")
+@query(
+    "rec_knn",
+    # every user's first 30 unseen items in descending order hold 10 items of the highest score, so no other can enter
+    with_views(
+        ["user_points", "item_points", "points", "seen"],
+        f"""SELECT user_idx, item_idx, relevance, rank::INTEGER AS rank FROM (
+              SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY relevance DESC, item_idx DESC) AS rank FROM (
+                SELECT user_idx, item_idx, round_even(list_sum(list_transform(near, lambda n: {LABEL_SQL} / ({FAR_SQL} + 1e-10)))
+                         / list_sum(list_transform(near, lambda n: 1 / ({FAR_SQL} + 1e-10))), 0) AS relevance
+                FROM (SELECT c.user_idx, c.item_idx, min({NEAR_SQL}, 5) AS near
+                      FROM (SELECT * FROM (
+                              SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY item_idx DESC) AS o FROM user_points CROSS JOIN item_points
+                              WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_idx = user_points.user_idx AND s.item_idx = item_points.item_idx))
+                            WHERE o <= 30) c CROSS JOIN points t GROUP BY ALL))) WHERE rank <= {K}""",
+    ),
+)
 def rec_knn(spark, d):
-    """No oracle: every candidate against every log row is too slow in SQL; tests compare with brute force."""
-    log, candidates, train = knn_inputs(spark, d)
-    return rec.knn(candidates, train, log, K, 5, cell_items=1024)
+    """Ten out of all unseen items."""
+    log, users, items, train = knn_inputs(spark, d)
+    return rec.knn_catalogue(users, items, train, log, K, 5, cell_items=1024)
 
 
 # --- streaming ------------------------------------------------------------------------------

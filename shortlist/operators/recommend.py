@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from shortlist.operators.sampling import exactly
 from shortlist.operators.sequences import Sequences, category_scores
 from shortlist.plans.draws import sequential_draws
 from shortlist.plans.grouped_topk import grouped_vector_topk
+from shortlist.plans.ordering import global_row_number
 from shortlist.plans.skew import lookup
 from shortlist.plans.topk import drop_seen, prefix_rows, prefix_topk, rounded, topk_per_user
 from shortlist.plans.vector_topk import vector_topk
@@ -198,6 +201,17 @@ def neighbour_mean(near: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.groupBy("qid").agg((F.sum(w * F.col("label")) / F.sum(w)).alias("relevance"))
 
 
+def knn_scores(candidates: DataFrame, train: DataFrame, n: int, metric: str = "euclidean", whole: bool = True, **blocks) -> DataFrame:
+    """Candidate pairs (user_idx, item_idx, vec) with ``relevance``, the inverse-distance mean label of
+    the ``n`` nearest training rows (row_id, vec, label). Equal points are searched once."""
+    pair = F.concat_ws(":", "user_idx", "item_idx")
+    points = durable(candidates.groupBy("vec").agg(F.min(pair).alias("qid")))
+    means = neighbour_mean(neighbours(points.select("qid", "vec"), train, n, metric, **blocks), train)
+    value = F.rint("relevance") if whole else F.round("relevance", 6)
+    scored = points.join(means, "qid").select("vec", value.alias("relevance"))
+    return candidates.join(scored, "vec").select("user_idx", "item_idx", "relevance")
+
+
 def knn(candidates: DataFrame, train: DataFrame, log: DataFrame | None, k: int, n: int, metric: str = "euclidean", whole: bool = True, **blocks) -> DataFrame:
     """Score candidate pairs (user_idx, item_idx, vec) by their n nearest training rows.
 
@@ -205,15 +219,44 @@ def knn(candidates: DataFrame, train: DataFrame, log: DataFrame | None, k: int,
     half to even, so ties are common.
     """
     rows = durable(candidates if log is None else drop_seen(candidates, log))
+    return topk_per_user(knn_scores(rows, durable(train), n, metric, whole, **blocks), k)
+
+
+def knn_catalogue(
+    users: DataFrame, items: DataFrame, train: DataFrame, log: DataFrame | None, k: int, n: int, metric: str = "euclidean",
+    whole: bool = True, first: int | None = None, **blocks,
+) -> DataFrame:
+    """The k best unseen items of every user out of all items, by their n nearest training rows.
+
+    A pair's point is the user's ``vec`` followed by the item's. A mean of labels is at most the
+    largest label, and ties go to the larger item, so items are scored in descending order: who has k
+    items with the largest label needs no further ones. Rounds of doubling size, ``first`` items to
+    begin with, serve the users who still do, up to the whole catalogue. The lists are those of
+    scoring every pair.
+    """
     train = durable(train)
-    queries = rows.select(F.concat_ws(":", "user_idx", "item_idx").alias("qid"), "vec")
-    scores = neighbour_mean(neighbours(queries, train, n, metric, **blocks), train)
-    value = F.rint("relevance") if whole else F.round("relevance", 6)
-    key = F.split("qid", ":")
-    out = scores.select(
-        F.get(key, F.lit(0)).cast("long").alias("user_idx"), F.get(key, F.lit(1)).cast("long").alias("item_idx"), value.alias("relevance")
-    )
-    return topk_per_user(out, k)
+    value = F.rint(F.max("label")) if whole else F.round(F.max("label").cast("double"), 6)
+    best = train.agg(value).first()[0]
+    places = durable(global_row_number(items.select("item_idx", F.col("vec").alias("_ivec")), [F.col("item_idx").desc()], "_place"))
+    last = places.count()
+    wanting = users.select("user_idx", F.col("vec").alias("_uvec"))
+    rounds, at, size = [], 0, first or 2 * k
+    while best is not None and at < last:
+        upto = min(at + size, last)
+        reach = wanting.select("*", F.explode(F.sequence(F.lit(at + 1).cast("long"), F.lit(upto).cast("long"))).alias("_place"))
+        met = lookup(reach, places.filter(F.col("_place").between(at + 1, upto)), "_place")
+        pairs = met.select("user_idx", "item_idx", F.concat("_uvec", "_ivec").alias("vec"))
+        pairs = durable(pairs if log is None else drop_seen(pairs, log))
+        rounds.append(durable(knn_scores(pairs, train, n, metric, whole, **blocks)))
+        scored = reduce(DataFrame.unionByName, rounds)
+        served = scored.filter(F.col("relevance") >= best).groupBy("user_idx").count().filter(F.col("count") >= k)
+        wanting = durable(wanting.join(served.select("user_idx"), "user_idx", "left_anti"))
+        if wanting.isEmpty():
+            break
+        at, size = upto, 2 * size
+    if not rounds:
+        return topk_per_user(users.select("user_idx", F.lit(None).cast("long").alias("item_idx"), F.lit(0.0).alias("relevance")).limit(0), k)
+    return topk_per_user(scored, k)
 
 
 def ngram_revenue(log: DataFrame, users: DataFrame, items: DataFrame, k: int, order: list[str], slice_by, n: int = NGRAM, smoothing: float = NGRAM_SMOOTHING, filter_seen: bool = True, use_category: bool = True, sequences: Sequences | None = None) -> DataFrame:

@@ -384,6 +384,47 @@ def test_knn_against_brute_force(spark):
     assert [(r["user_idx"], r["item_idx"]) for r in got.orderBy("user_idx", "rank").collect()] == want
 
 
+def _all_pairs(x, y, users, items, seen, k, n, whole):
+    out = []
+    for u, uv in users:
+        scored = []
+        for i, iv in items:
+            if (u, i) not in seen:
+                d = np.round(np.sqrt(((x - np.array([*uv, *iv])) ** 2).sum(axis=1)), 9)
+                near = sorted(range(len(x)), key=lambda j: (d[j], -j))[:n]
+                w = 1 / (d[near] + 1e-10)
+                p = float((w * y[near]).sum() / w.sum())
+                scored.append((float(np.rint(p)) if whole else round(p, 6), i))
+        out += [(u, i, s) for s, i in sorted(scored, reverse=True)[:k]]
+    return out
+
+
+@pytest.mark.parametrize(("whole", "share"), [(True, 0.6), (True, 0.1), (False, 0.7), (True, 0.0)])
+def test_knn_over_the_whole_catalogue(spark, whole, share):
+    """Also where hardly any pair gets the largest score, so that all items must be looked at."""
+    rng = np.random.default_rng(5)
+    x, y = np.round(rng.normal(size=(90, 3)), 2), (rng.random(90) < share).astype(int)
+    users = [(u, [float(v)]) for u, v in enumerate(np.round(rng.normal(size=5), 1))] + [(5, [0.3]), (6, [0.3])]
+    items = [(i, [float(v) for v in row]) for i, row in enumerate(np.round(rng.normal(size=(40, 2)), 1))]
+    seen = {(0, i) for i in range(30, 40)} | {(1, i) for i in range(38)} | {(4, 39), (4, 7)}
+    train = spark.createDataFrame([(i, [float(v) for v in x[i]], int(y[i])) for i in range(90)], "row_id long, vec array<double>, label long")
+    got = rec.knn_catalogue(
+        spark.createDataFrame(users, "user_idx long, vec array<double>"), spark.createDataFrame(items, "item_idx long, vec array<double>"), train,
+        spark.createDataFrame(sorted(seen), "user_idx long, item_idx long"), 4, 3, whole=whole, first=5, cell_items=20,
+    )
+    rows = [(r.user_idx, r.item_idx, r.relevance) for r in got.orderBy("user_idx", "rank").collect()]
+    assert rows == _all_pairs(x, y, users, items, seen, 4, 3, whole)
+
+
+def test_knn_without_training_rows_or_items(spark):
+    users = spark.createDataFrame([(1, [0.5])], "user_idx long, vec array<double>")
+    items = spark.createDataFrame([(1, [0.5])], "item_idx long, vec array<double>")
+    train = spark.createDataFrame([(1, [0.5, 0.5], 1)], "row_id long, vec array<double>, label long")
+    assert rec.knn_catalogue(users, items, train.limit(0), None, 3, 2).count() == 0
+    assert rec.knn_catalogue(users, items.limit(0), train, None, 3, 2).count() == 0
+    assert [tuple(r) for r in rec.knn_catalogue(users, items, train, None, 3, 2).collect()] == [(1, 1, 1.0, 1)]
+
+
 @pytest.fixture(scope="module")
 def learnt(spark):
     """Users of segment a keep cheap items, others keep dear ones."""
