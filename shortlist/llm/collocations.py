@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,14 +22,15 @@ NO_LANG = "und"
 NEVER = 255  # a stop that never comes
 MOST_CELLS = 1 << 27  # of the table of stops: 128 MB, whatever the input
 CELLS_PER_DOCUMENT = 64
+SUMS = "key long, n long, check long, home long"
 FLUSH = 2_000_000  # phrases that a task holds before it sums them up
-FLUSH_STRINGS = 200_000
 
+WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 BREAK = np.zeros(256, bool)
 BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 IN_WORD = ~BREAK
 IN_WORD[[0x20, 0x09]] = False
-_STEP = np.uint64(0xD6E8FEB86659FD93)
+_STEP, _STEP_TWO, _SEED_TWO = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
 class _Text:
@@ -40,6 +42,7 @@ class _Text:
         self.text = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
         self.words = words.word_hashes(raw, self.starts, self.ends)
         self.first = words.mix(self.words ^ seeds[self.text])
+        self.first_two = words.mix(self.first ^ _SEED_TWO)
         piece = np.cumsum(BREAK[raw])[self.starts] if len(raw) else np.zeros(0, np.int64)
         n = len(self.starts)
         joined = np.zeros(n, bool)  # with the next word, in one piece of one text
@@ -47,15 +50,19 @@ class _Text:
             joined[:-1] = (np.diff(piece) == 0) & (np.diff(self.text) == 0)
         self.follows = [np.ones(n, bool)]
         for k in range(1, MAX_WORDS):
-            longer = self.follows[-1].copy()
-            longer[n - k :] = False
-            longer[: n - k] &= joined[k - 1 : n - 1]
+            longer = np.zeros(n, bool)
+            if n > k:
+                longer[: n - k] = self.follows[-1][: n - k] & joined[k - 1 : n - 1]
             self.follows.append(longer)
 
     def longer(self, hashes: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
         """Hashes of the phrases of ``k`` words at the places ``at``, from those of k - 1 words."""
         return words.mix(hashes * _STEP ^ self.words[at + k - 1])
 
+    def longer_two(self, hashes: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+        """The same for a second hash, by which phrases with equal first ones are noticed."""
+        return words.mix(hashes * _STEP_TWO ^ self.words[at + k - 1])
+
 
 def _stops(cells: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """The stop at which each phrase was first seen often enough, or an earlier one; NEVER if it was not."""
@@ -64,9 +71,25 @@ def _stops(cells: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return cells[bloom.places_of_ids((hashes >> np.uint64(8)).view(np.int64), len(cells))].max(axis=1)
 
 
-def _summed(keys: list[np.ndarray]) -> pa.RecordBatch:
-    found, n = np.unique(np.concatenate(keys), return_counts=True)
-    return pa.record_batch([pa.array(found.view(np.int64)), pa.array(n)], names=["key", "n"])
+def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """(key, n, check, home): occurrences, the wrapped sum of their second hashes, and the first text that has one."""
+    keys, two, homes = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    n = np.diff(np.append(first, len(keys)))
+    check = np.add.reduceat(two[order], first) if len(keys) else two
+    home = np.minimum.reduceat(homes[order], first) if len(keys) else homes
+    columns = [keys[first].view(np.int64), n, check.view(np.int64), home]
+    return pa.record_batch([pa.array(c) for c in columns], names=["key", "n", "check", "home"])
+
+
+def _wrapped_sum(column: str) -> Column:
+    """Sum of longs modulo 2^64, which plain sums refuse to wrap: by halves."""
+    low, high = F.col(column).bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftright(column, 32).bitwiseAND(F.lit(0xFFFFFFFF))
+    sums = F.sum(low), F.sum(high)
+    top = F.shiftleft((sums[1] + F.shiftrightunsigned(sums[0], 32)).bitwiseAND(F.lit(0xFFFFFFFF)), 32)
+    return top.bitwiseOR(sums[0].bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
 def _occurrences(step: int, shards: int, max_words: int, held):
@@ -75,41 +98,47 @@ def _occurrences(step: int, shards: int, max_words: int, held):
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.frombuffer(held.value, np.uint8)
-        keys: list[np.ndarray] = []
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-        def take(hashes: np.ndarray, k: int, since: np.ndarray | int) -> None:
+        def take(hashes: np.ndarray, two: np.ndarray, homes: np.ndarray, k: int, since: np.ndarray | int) -> None:
             tag = np.uint64(k - 1) | np.left_shift(np.asarray(since).astype(np.uint64), np.uint64(2))
-            keys.append(hashes & ~np.uint64(255) | tag)
+            parts.append((hashes & ~np.uint64(255) | tag, two, homes))
 
         for batch in batches:
-            seeds = batch.column("_seed").to_numpy(zero_copy_only=False).view(np.uint64)
+            seeds, ids = _numbers(batch, "_seed").view(np.uint64), _numbers(batch, "_id")
             for first, last, raw, offsets in words.chunks(batch.column("_text")):
                 text = _Text(raw, offsets, seeds[first:last])
+                homes = ids[first:last][text.text]
                 if step < shards:
-                    take(text.first, 1, 0)
+                    take(text.first, text.first_two, homes, 1, 0)
                 if step > 0:
-                    hashes = text.first.copy()
+                    hashes, two = text.first.copy(), text.first_two.copy()
                     reached = _stops(cells, hashes)
                     for k in range(2, max_words + 1):
                         at = np.flatnonzero(text.follows[k - 1])
                         since = np.maximum(reached[at], reached[at + 1])
                         hit = since <= step
                         at, since = at[hit], since[hit]
-                        hashes[at] = text.longer(hashes[at], at, k)
+                        hashes[at], two[at] = text.longer(hashes[at], at, k), text.longer_two(two[at], at, k)
                         counting = since > step - shards
-                        take(hashes[at[counting]], k, since[counting])
+                        now = at[counting]
+                        take(hashes[now], two[now], homes[now], k, since[counting])
                         reached[:] = NEVER
                         if k < max_words:  # a shared cell must not date a phrase before its own activation
                             reached[at] = np.maximum(_stops(cells, hashes[at]), since)
-                if sum(map(len, keys)) >= FLUSH:
-                    yield _summed(keys)
-                    keys = []
-        if keys:
-            yield _summed(keys)
+                if sum(len(p[0]) for p in parts) >= FLUSH:
+                    yield _summed(parts)
+                    parts = []
+        if parts:
+            yield _summed(parts)
 
     return scan
 
 
+def _numbers(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False)
+
+
 def _bits(ids: DataFrame, bits: int) -> np.ndarray:
     """Which of ``bits`` places the values of a table's only column, a long, fall on."""
     name = ids.columns[0]
@@ -129,7 +158,8 @@ def _bits(ids: DataFrame, bits: int) -> np.ndarray:
 
 
 def _frequent(texts: DataFrame, cells: int, min_count: int, max_words: int, shards: int) -> list[DataFrame]:
-    """Tables of the hashes (56 bits) of phrases that were counted ``min_count`` times or more.
+    """Tables (phrase, n, check, home) of the phrases that were counted ``min_count`` times or more:
+    56 bits of the hash, the exact count, and what ``_summed`` says of it.
 
     Step t scans shard t mod ``shards``; a stop follows every step. Words are counted from the
     start. A longer phrase is counted from the stop on at which both phrases of one word less have
@@ -147,18 +177,19 @@ def _frequent(texts: DataFrame, cells: int, min_count: int, max_words: int, shar
     for step in range(shards * max_words):
         held = spark.sparkContext.broadcast(stops.tobytes())
         scan = _occurrences(step, shards, max_words, held)
-        counts = texts.where(F.col("_shard") == step % shards).select("_seed", "_text").mapInArrow(scan, "key long, n long")
+        counts = texts.where(F.col("_shard") == step % shards).select("_id", "_seed", "_text").mapInArrow(scan, SUMS)
         counts = counts.withColumn("reached", F.lit(False))
         both = counts if state is None else counts.unionByName(state)
-        seen = durable(both.groupBy("key").agg(F.sum("n").alias("n"), F.max("reached").alias("reached")))
+        sums = [F.sum("n").alias("n"), _wrapped_sum("check").alias("check"), F.min("home").alias("home")]
+        seen = durable(both.groupBy("key").agg(*sums, F.max("reached").alias("reached")))
         held.unpersist()
         if kept is not None:
             release(kept)
         stop = step + 1
         fresh = _bits(seen.where(often & ~F.col("reached") & (size < max_words)).select(phrase), cells) & (stops == NEVER)
         stops[fresh] = stop
-        out.append(durable(seen.where(often & (since + shards == stop)).select(phrase)))
-        kept, state = seen, seen.where(since + shards > stop).select("key", "n", (F.col("reached") | often).alias("reached"))
+        out.append(durable(seen.where(often & (since + shards == stop)).select(phrase, "n", "check", "home")))
+        kept, state = seen, seen.where(since + shards > stop).select("key", "n", "check", "home", (F.col("reached") | often).alias("reached"))
         latest = stop if fresh.any() else latest
         if stop == latest + shards:  # whatever was activated last has been through its cycle
             break
@@ -166,47 +197,78 @@ def _frequent(texts: DataFrame, cells: int, min_count: int, max_words: int, shar
     return out
 
 
-def _strings(bits: int, max_words: int, held):
-    """Counts of the phrases that the filter holds, by language and text; rows without words count all words."""
+def _all_hashes(text: _Text, max_words: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(words, places, hashes, second hashes) of the phrases of a chunk, by length."""
+    hashes, two, at = text.first.copy(), text.first_two.copy(), np.arange(len(text.starts))
+    yield 1, at, hashes[at], two[at]
+    for k in range(2, max_words + 1):
+        at = np.flatnonzero(text.follows[k - 1])
+        hashes[at], two[at] = text.longer(hashes[at], at, k), text.longer_two(two[at], at, k)
+        yield k, at, hashes[at], two[at]
+
+
+def _names(max_words: int):
+    """The text of each wanted phrase from its home, and whether its count is of that phrase alone."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seeds, langs, wanted = _numbers(batch, "_seed").view(np.uint64), batch.column("_lang").to_pylist(), batch.column("_wanted")
+            rows: list[tuple[str, int, str, int, int, bool]] = []
+            for i in range(batch.num_rows):
+                own = wanted[i].values
+                ids = own.field("phrase").to_numpy(zero_copy_only=False)
+                order = np.argsort(ids)
+                ids, n, check = ids[order], *(own.field(c).to_numpy(zero_copy_only=False)[order] for c in ("n", "check"))
+                for _, _, raw, offsets in words.chunks(batch.column("_text").slice(i, 1)):
+                    text = _Text(raw, offsets, seeds[i : i + 1])
+                    body = words.LOWER[raw].tobytes()
+                    for k, at, hashes, two in _all_hashes(text, max_words):
+                        short = (hashes >> np.uint64(8)).view(np.int64)
+                        place = np.minimum(np.searchsorted(ids, short), len(ids) - 1)
+                        hit = np.flatnonzero(ids[place] == short)
+                        _, one = np.unique(short[hit], return_index=True)
+                        one = hit[one]
+                        for j, w, g in zip(place[one].tolist(), at[one].tolist(), two[one]):
+                            phrase = b" ".join(body[text.starts[w] : text.ends[w + k - 1]].split()) if k > 1 else body[text.starts[w] : text.ends[w]]
+                            alone = (n[j : j + 1].view(np.uint64) * g)[0] == check[j : j + 1].view(np.uint64)[0]
+                            rows.append((langs[i], k, phrase.decode(), int(n[j]), int(ids[j]), bool(alone)))
+            columns = list(zip(*rows)) or [()] * 6
+            kinds = (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=["lang", "words", "phrase", "f", "hash", "alone"])
+
+    return scan
+
+
+def _held(bits: int, held):
+    """Rows whose _id a filter holds."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = np.frombuffer(held.value, np.uint8)
-        counts: dict[tuple[str, int, bytes], int] = {}
+        ids = np.frombuffer(held.value, np.uint8)
+        for batch in batches:
+            yield batch.filter(pa.array(bloom.has(ids, bloom.places_of_ids(_numbers(batch, "_id"), bits))))
 
-        def summed() -> pa.RecordBatch:
-            langs, sizes, phrases = zip(*counts) if counts else ((), (), ())
-            columns = [pa.array(langs, pa.string()), pa.array(sizes, pa.int32()), pa.array(phrases, pa.binary()).cast(pa.string())]
-            return pa.record_batch([*columns, pa.array(counts.values(), pa.int64())], names=["lang", "words", "phrase", "f"])
+    return scan
+
+
+def _recount(bits: int, max_words: int, held):
+    """Counts by text of the phrases whose hashes a filter holds: for hashes that several phrases share."""
 
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared = np.frombuffer(held.value, np.uint8)
         for batch in batches:
-            seeds = batch.column("_seed").to_numpy(zero_copy_only=False).view(np.uint64)
-            langs = batch.column("_lang").to_pylist()
+            seeds, langs = _numbers(batch, "_seed").view(np.uint64), batch.column("_lang").to_pylist()
             for first, last, raw, offsets in words.chunks(batch.column("_text")):
                 text = _Text(raw, offsets, seeds[first:last])
                 body = words.LOWER[raw].tobytes()
-                for at, n in zip(*(x.tolist() for x in np.unique(text.text, return_counts=True))):
-                    key = langs[first + at], 0, b""
-                    counts[key] = counts.get(key, 0) + n
-                hashes, at = text.first.copy(), np.arange(len(text.starts))
-                for k in range(1, max_words + 1):
-                    if k > 1:
-                        at = np.flatnonzero(text.follows[k - 1])
-                        at = at[held_all[at] & held_all[at + 1]]
-                        hashes[at] = text.longer(hashes[at], at, k)
-                    held_all = np.zeros(len(hashes), bool)
-                    if len(at):
-                        ids = (hashes[at] >> np.uint64(8)).view(np.int64)
-                        held_all[at] = bloom.has(frequent, bloom.places_of_ids(ids, bits))
-                    at = np.flatnonzero(held_all)
-                    _, one, n = np.unique(hashes[at], return_index=True, return_counts=True)
-                    one = at[one]
-                    for w, s, e, m in zip(text.text[one].tolist(), text.starts[one].tolist(), text.ends[one + k - 1].tolist(), n.tolist()):
-                        key = langs[first + w], k, b" ".join(body[s:e].split()) if k > 1 else body[s:e]
-                        counts[key] = counts.get(key, 0) + m
-                if len(counts) > FLUSH_STRINGS:
-                    yield summed()
-                    counts.clear()
-        yield summed()
+                counts: dict[tuple[str, int, str], int] = {}
+                for k, at, hashes, _ in _all_hashes(text, max_words):
+                    for w in at[bloom.has(shared, bloom.places_of_ids((hashes >> np.uint64(8)).view(np.int64), bits))].tolist():
+                        phrase = b" ".join(body[text.starts[w] : text.ends[w + k - 1]].split()) if k > 1 else body[text.starts[w] : text.ends[w]]
+                        key = langs[first + text.text[w]], k, phrase.decode()
+                        counts[key] = counts.get(key, 0) + 1
+                langs_, sizes, phrases = zip(*counts) if counts else ((), (), ())
+                columns = [pa.array(langs_, pa.string()), pa.array(sizes, pa.int32()), pa.array(phrases, pa.string()), pa.array(counts.values(), pa.int64())]
+                yield pa.record_batch(columns, names=["lang", "words", "phrase", "f"])
 
     return scan
 
@@ -216,26 +278,39 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     ``max_words`` words that a language has ``min_count`` times or more, and as the row of no words
     the number of all words of the language.
 
-    The texts are written once, dealt over ``shards``. Dynamic counting finds the phrases by hash,
-    shared cells and equal hashes only adding to them; a last scan counts those by their text.
+    The texts are written once, dealt over ``shards``. Dynamic counting finds and counts the phrases
+    by hash; a phrase's text is read from the first document that has it, which alone of all texts
+    moves. A second hash, summed beside the count, shows where phrases share a hash; those are
+    counted again by their text.
     """
     if not 1 <= max_words <= MAX_WORDS or not 1 <= shards * (max_words - 1) < 64:
         raise ValueError("phrases have one to four words, and there are fewer than 64 stops")
+    spark = docs.sparkSession
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(lang.alias("_lang"), F.xxhash64(lang).alias("_seed"), text.alias("_text"), F.monotonically_increasing_id().alias("_id"))
-    texts = durable(rows.withColumn("_shard", (F.col("_id") % shards).cast("int")).drop("_id"), "_shard")
+    n_words = F.regexp_count("_text", F.lit(WORD)).cast("long").alias("_n")
+    texts = durable(rows.select("*", n_words, (F.col("_id") % shards).cast("int").alias("_shard")), "_shard")
     cells = min(MOST_CELLS, bloom.size_for(texts.count(), CELLS_PER_DOCUMENT))
-    found = _frequent(texts, cells, min_count, max_words, shards)
-    hashes = found[0]
-    for more in found[1:]:
-        hashes = hashes.unionByName(more)
-    bits, filter_ = bloom.of_ids(hashes)
-    scan = _strings(bits, max_words, docs.sparkSession.sparkContext.broadcast(filter_))
-    counts = texts.select("_lang", "_seed", "_text").mapInArrow(scan, "lang string, words int, phrase string, f long")
-    counts = counts.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where((F.col("f") >= min_count) | (F.col("words") == 0))
-    out = durable(counts)
-    release(texts, *found)
+    tables = _frequent(texts, cells, min_count, max_words, shards)
+    found = reduce(DataFrame.unionByName, tables)
+    homes = durable(found.groupBy(F.col("home").alias("_home")).agg(F.collect_list(F.struct("phrase", "n", "check")).alias("_wanted")))
+    bits, filter_ = bloom.of_ids(homes.select("_home"))
+    body = texts.select("_id", "_lang", "_seed", "_text")
+    body = body.mapInArrow(_held(bits, spark.sparkContext.broadcast(filter_)), body.schema)
+    met = body.join(homes.hint("shuffle_hash"), F.col("_id") == F.col("_home")).select("_lang", "_seed", "_text", "_wanted")
+    named = durable(met.mapInArrow(_names(max_words), "lang string, words int, phrase string, f long, hash long, alone boolean"))
+    counts = named.where("alone").select("lang", "words", "phrase", "f")
+    shared = named.where("NOT alone").select("hash")
+    if not shared.isEmpty():
+        bits, filter_ = bloom.of_ids(shared)
+        scan = _recount(bits, max_words, spark.sparkContext.broadcast(filter_))
+        again = texts.select("_lang", "_seed", "_text").mapInArrow(scan, "lang string, words int, phrase string, f long")
+        again = again.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
+        counts = counts.unionByName(again.join(counts, ["lang", "words", "phrase"], "left_anti"))
+    totals = texts.groupBy(F.col("_lang").alias("lang")).agg(F.sum("_n").alias("f"))
+    out = durable(counts.unionByName(totals.select("lang", F.lit(0).alias("words"), F.lit("").alias("phrase"), "f")))
+    release(texts, homes, named, *tables)
     return out
 
 

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from shortlist.llm import collocations
@@ -72,6 +73,49 @@ def test_a_full_table_of_stops_changes_nothing(spark, monkeypatch):
     assert sorted(map(tuple, collocations.collocations(docs, min_count=6).collect())) == plain(rows, 6, 2000)
 
 
+def test_phrases_that_share_a_hash_are_counted_by_text(spark, monkeypatch):
+    """With hashes of a few bits nearly all phrases share them."""
+    mix = collocations.words.mix
+    kept = np.uint64(0x3FF) << np.uint64(8)
+
+    class Narrow(collocations._Text):
+        def __init__(self, *args):
+            super().__init__(*args)
+            self.first = self.first & kept
+
+        def longer(self, hashes, at, k):
+            return super().longer(hashes, at, k) & kept
+
+    monkeypatch.setattr(collocations, "_Text", Narrow)
+    rows = corpus(4)[:120]
+    # the class is sent to the workers with the closures only if it belongs to none of their modules
+    Narrow.__module__ = "__main__"
+    monkeypatch.setattr(collocations, "_occurrences", _moved(collocations._occurrences, Narrow))
+    monkeypatch.setattr(collocations, "_names", _moved(collocations._names, Narrow))
+    monkeypatch.setattr(collocations, "_recount", _moved(collocations._recount, Narrow))
+    assert mix is collocations.words.mix
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    assert sorted(map(tuple, collocations.collocations(docs, min_count=3).collect())) == plain(rows, 3, 2000)
+
+
+def _moved(factory, text):
+    def make(*args):
+        scan = factory(*args)
+
+        def run(batches):
+            import shortlist.llm.collocations as module
+
+            before, module._Text = module._Text, text
+            try:
+                yield from scan(batches)
+            finally:
+                module._Text = before
+
+        return run
+
+    return make
+
+
 def test_one_long_text_and_no_text(spark):
     rows = [("en", "to be or not to be, " * 5000), ("en", "be or " * 3)]
     docs = spark.createDataFrame(rows, "lang string, text string")
