@@ -1,27 +1,89 @@
-"""Response columns and metrics over the simulated outcomes of the confidence-bound lists."""
+"""Response columns, and metrics of recommenders on what users kept after the years they were fitted on."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shortlist.catalog.base import SEED, VIEWS, query, with_views
+from shortlist.catalog.base import K, SEED, VIEWS, query, with_views
 from shortlist.catalog.feature_tables import vector_pairs
 from shortlist.catalog.sampling import make_items
 from shortlist.catalog.tables_and_joins import ucb_recs
 from shortlist.functions.randomness import gamma_int_sql, normal_sql, uniform_sql
+from shortlist.operators import evaluation as ev
 from shortlist.operators import metrics as mt
+from shortlist.operators import popularity as pop
 from shortlist.operators import profile as prof
 from shortlist.operators import recommend as rec
 from shortlist.operators import response as rs
-from shortlist.plans.ordering import positions
 from shortlist.plans.skew import lookup
 from shortlist.sources import tables as tb
 
 AT = 5
 
 
-def outcome(spark, d):
-    return rs.responses(ucb_recs(spark, d), tb.users(spark, d), tb.items(spark, d), SEED)
+#: the first years tell models apart before the last ones judge them
+PHASES = [ev.Phase("train", 1996, tb.LAST_TRAIN_YEAR), ev.Phase("test", tb.LAST_TRAIN_YEAR)]
+MODELS: dict[str, ev.Recommender] = {
+    "popularity": lambda log, users, items, k: rec.popularity(log, users, items, k),
+    "ucb": lambda log, users, items, k: rec.ucb(log, users, items, k),
+    "ucb_price": lambda log, users, items, k: rec.ucb_price(log, users, items, k),
+    "popularity_revenue": lambda log, users, items, k: rec.expected_revenue(pop.popularity_table(log, items), items, users, log, k),
+    "ucb_revenue": lambda log, users, items, k: rec.expected_revenue(pop.ucb_table(log, items), items, users, log, k),
+}
+_UCB = "coalesce(pos / c.total + sqrt(ln(2.0 * n) / c.total), 1.0 + sqrt(ln(2.0 * n)))"
+_POP = "coalesce((pos + 1.0) / (c.total + 2.0), 0.5)"
+_MODEL_SQL = {
+    "popularity": _POP, "ucb": _UCB, "ucb_price": f"{_UCB} + 0.3::DOUBLE * (price - lo) / (hi - lo)",
+    "popularity_revenue": f"{_POP} * price", "ucb_revenue": f"{_UCB} * price",
+}
+_SCORES = " UNION ALL ".join(
+    f"SELECT phase, '{m}' AS model, item_idx, round({e}, 9) AS relevance FROM phases CROSS JOIN items CROSS JOIN (SELECT min(price) AS lo, max(price) AS hi FROM items) "
+    f"JOIN fitted_rows USING (phase) LEFT JOIN fitted_counts c USING (phase, item_idx)"
+    for m, e in _MODEL_SQL.items()
+)
+VIEWS["phases"] = ((), "SELECT * FROM (VALUES " + ", ".join(f"('{p.name}', {p.fitted}, {p.judged or 9999})" for p in PHASES) + ") p(phase, fitted, until)")
+VIEWS["fitted_log"] = (("log", "phases"), "SELECT phase, log.* FROM log JOIN phases ON iter <= fitted")
+VIEWS["later_log"] = (("log", "phases"), "SELECT phase, log.* FROM log JOIN phases ON iter > fitted AND iter <= until")
+VIEWS["fitted_rows"] = (("fitted_log",), "SELECT phase, count(*) AS n FROM fitted_log GROUP BY phase")
+VIEWS["fitted_seen"] = (("fitted_log",), "SELECT DISTINCT phase, user_idx, item_idx FROM fitted_log")
+VIEWS["fitted_counts"] = (("fitted_log",), "SELECT phase, item_idx, sum(relevance)::BIGINT AS pos, count(relevance) AS total FROM fitted_log GROUP BY ALL")
+# no list reaches further down than its length and the longest history
+VIEWS["model_heads"] = (
+    ("items", "phases", "fitted_rows", "fitted_counts", "fitted_seen"),
+    f"""SELECT phase, model, item_idx, relevance FROM (
+          SELECT *, row_number() OVER (PARTITION BY phase, model ORDER BY relevance DESC, item_idx DESC) AS place FROM ({_SCORES}))
+        WHERE place <= {K} + (SELECT max(h) FROM (SELECT count(*) AS h FROM fitted_seen GROUP BY phase, user_idx))""",
+)
+VIEWS["model_lists"] = (
+    ("users", "model_heads", "fitted_seen"),
+    f"""SELECT * FROM (
+          SELECT phase, model, user_idx, item_idx, relevance,
+                 row_number() OVER (PARTITION BY phase, model, user_idx ORDER BY relevance DESC, item_idx DESC) AS rank
+          FROM users CROSS JOIN model_heads h ANTI JOIN fitted_seen s USING (phase, user_idx, item_idx)) WHERE rank <= {K}""",
+)
+
+
+def _judged_sql(by: str, only: str = "") -> str:
+    return f"""SELECT l.*, {by} coalesce(k.response, 0) AS response, coalesce(k.revenue, 0.0) AS revenue
+        FROM model_lists l JOIN (SELECT DISTINCT {by} phase, user_idx FROM later_log) a USING (phase, user_idx)
+        LEFT JOIN (SELECT {by} phase, user_idx, item_idx, max(CASE WHEN relevance > 0 THEN 1 ELSE 0 END) AS response,
+                          sum(CASE WHEN relevance > 0 THEN revenue ELSE 0.0 END) AS revenue FROM later_log GROUP BY ALL) k
+        USING ({by} phase, user_idx, item_idx) {only}"""
+
+
+VIEWS["model_judged"] = (("model_lists", "later_log"), _judged_sql("iter,"))
+VIEWS["kept_later"] = (("model_lists", "later_log"), _judged_sql("", "WHERE phase = 'test' AND model = 'ucb'"))
+
+
+def kept_later(spark, d):
+    """The confidence-bound lists of the training years against all that was kept after them."""
+    log, users, items = tb.interactions(spark, d), tb.users(spark, d), tb.items(spark, d)
+    last = [PHASES[-1]]
+    return ev.judged(ev.lists_of({"ucb": MODELS["ucb"]}, log, users, items, K, last), log, last, ())
+
+
+def model_metrics(spark, d):
+    return ev.compare(MODELS, tb.interactions(spark, d), tb.users(spark, d), tb.items(spark, d), K, AT, PHASES)
 
 
 # --- responses ------------------------------------------------------------------------------
@@ -100,7 +162,7 @@ def response_revenue(spark, d):
 
 # --- ranking metrics ------------------------------------------------------------------------
 
-_HEAD = f"(SELECT * FROM responses WHERE rank <= {AT})"
+_HEAD = f"(SELECT * FROM kept_later WHERE rank <= {AT})"
 METRIC_SQL = {
     "precision_at_k": f"SELECT round(avg(v), 9) AS precision_at_k FROM (SELECT avg(response) AS v FROM {_HEAD} GROUP BY user_idx)",
     "ndcg_at_k": f"""SELECT round(avg(dcg / ideal), 9) AS ndcg_at_k FROM (
@@ -108,19 +170,19 @@ METRIC_SQL = {
           SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY rank) AS given,
                  row_number() OVER (PARTITION BY user_idx ORDER BY response DESC) AS best FROM {_HEAD}) GROUP BY user_idx) WHERE ideal > 0""",
     "mrr": """SELECT round(avg(v), 9) AS mrr FROM (
-        SELECT coalesce(1.0::DOUBLE / min(CASE WHEN response > 0 THEN rank END), 0.0) AS v FROM responses GROUP BY user_idx)""",
+        SELECT coalesce(1.0::DOUBLE / min(CASE WHEN response > 0 THEN rank END), 0.0) AS v FROM kept_later GROUP BY user_idx)""",
     "hit_rate": f"SELECT round(avg(v), 9) AS hit_rate FROM (SELECT max(CASE WHEN response > 0 THEN 1.0 ELSE 0.0 END)::DOUBLE AS v FROM {_HEAD} GROUP BY user_idx)",
-    "discounted_revenue": f"SELECT round(sum(revenue / log2(rank + 1)), 4) AS discounted_revenue FROM {_HEAD}",
-    "total_revenue": "SELECT round(sum(revenue), 4) AS total_revenue FROM responses",
-    "conversion_rate": "SELECT round(avg(response), 9) AS conversion_rate FROM responses",
+    "discounted_revenue": f"SELECT round(sum(revenue / log2(rank + 1)), 2) AS discounted_revenue FROM {_HEAD}",
+    "total_revenue": "SELECT round(sum(revenue), 2) AS total_revenue FROM kept_later",
+    "conversion_rate": "SELECT round(avg(response), 9) AS conversion_rate FROM kept_later",
     "factor_dcg": f"SELECT round(avg(v), 9) AS factor_dcg FROM (SELECT sum(relevance * 0.85::DOUBLE ** (rank - 1)) AS v FROM {_HEAD} GROUP BY user_idx)",
 }
 
 
 def _metric(name: str, fn, digits: int):
-    @query(name, with_views(["responses"], METRIC_SQL[name]))
+    @query(name, with_views(["kept_later"], METRIC_SQL[name]))
     def run(spark, d):
-        return fn(outcome(spark, d)).withColumn(name, F.round(name, digits))
+        return fn(kept_later(spark, d)).withColumn(name, F.round(name, digits))
 
     return run
 
@@ -130,8 +192,8 @@ for _name, _fn, _digits in (
     ("ndcg_at_k", lambda r: mt.ndcg_at_k(r, AT), 9),
     ("mrr", mt.mrr, 9),
     ("hit_rate", lambda r: mt.hit_rate(r, AT), 9),
-    ("discounted_revenue", lambda r: mt.discounted_revenue(r, AT), 4),
-    ("total_revenue", mt.total_revenue, 4),
+    ("discounted_revenue", lambda r: mt.discounted_revenue(r, AT), 2),
+    ("total_revenue", mt.total_revenue, 2),
     ("conversion_rate", mt.conversion_rate, 9),
     ("factor_dcg", lambda r: mt.factor_dcg(r, AT), 9),
 ):
@@ -161,74 +223,45 @@ def recall_at_k(spark, d):
     return mt.recall_at_k(recs, log.filter(F.col("relevance") > 0), 50).withColumn("recall_at_k", F.round("recall_at_k", 9))
 
 
-# --- trajectories: each user's orders of a year as that year's list ---------------------------
+# --- several recommenders, year by year ----------------------------------------------------------
 
-VIEWS["yearly"] = (
-    ("log",),
-    f"""SELECT iter, user_idx, item_idx, relevance AS response, relevance::DOUBLE AS relevance, revenue,
-               row_number() OVER (PARTITION BY iter, user_idx ORDER BY revenue DESC, l_orderkey, l_linenumber, item_idx) AS rank FROM log""",
-)
-VIEWS["yearly_metrics"] = (
-    ("yearly",),
-    f"""WITH h AS (SELECT *, row_number() OVER (PARTITION BY iter, user_idx ORDER BY rank) AS given,
-                row_number() OVER (PARTITION BY iter, user_idx ORDER BY response DESC) AS best FROM yearly WHERE rank <= {AT}),
-         u AS (SELECT iter, user_idx, avg(response) AS p, sum(response / log2(given + 1)) AS dcg, sum(response / log2(best + 1)) AS ideal,
-                      max(CASE WHEN response > 0 THEN 1.0 ELSE 0.0 END)::DOUBLE AS hit, sum(revenue / log2(rank + 1)) AS dr FROM h GROUP BY 1, 2),
-         w AS (SELECT iter, user_idx, coalesce(1.0::DOUBLE / min(CASE WHEN response > 0 THEN rank END), 0.0) AS rr, sum(revenue) AS t
-               FROM yearly GROUP BY 1, 2),
-         m AS (SELECT iter, avg(p) AS precision_at_k, avg(CASE WHEN ideal > 0 THEN dcg / ideal END) AS ndcg_at_k, avg(rr) AS mrr,
+VIEWS["model_metrics"] = (
+    ("model_judged",),
+    f"""WITH h AS (SELECT *, row_number() OVER (PARTITION BY model, phase, iter, user_idx ORDER BY rank) AS given,
+                row_number() OVER (PARTITION BY model, phase, iter, user_idx ORDER BY response DESC) AS best FROM model_judged WHERE rank <= {AT}),
+         u AS (SELECT model, phase, iter, user_idx, avg(response) AS p, sum(response / log2(given + 1)) AS dcg, sum(response / log2(best + 1)) AS ideal,
+                      max(CASE WHEN response > 0 THEN 1.0 ELSE 0.0 END)::DOUBLE AS hit, sum(revenue / log2(rank + 1)) AS dr FROM h GROUP BY ALL),
+         w AS (SELECT model, phase, iter, user_idx, coalesce(1.0::DOUBLE / min(CASE WHEN response > 0 THEN rank END), 0.0) AS rr, sum(revenue) AS t
+               FROM model_judged GROUP BY ALL),
+         m AS (SELECT model, phase, iter, avg(p) AS precision_at_k, avg(CASE WHEN ideal > 0 THEN dcg / ideal END) AS ndcg_at_k, avg(rr) AS mrr,
                       avg(hit) AS hit_rate, sum(dr) AS discounted_revenue, sum(t) AS total_revenue
-               FROM u JOIN w USING (iter, user_idx) GROUP BY iter)
-         UNPIVOT m ON precision_at_k, ndcg_at_k, mrr, hit_rate, discounted_revenue, total_revenue INTO NAME metric VALUE value""",
+               FROM u JOIN w USING (model, phase, iter, user_idx) GROUP BY ALL)
+         SELECT * FROM m UNPIVOT INCLUDE NULLS (value FOR metric IN (precision_at_k, ndcg_at_k, mrr, hit_rate, discounted_revenue, total_revenue))""",
 )
-
-
-def yearly_lists(spark, d):
-    log = tb.interactions(spark, d).withColumn("worth", -F.col("revenue")).withColumn("list", F.concat_ws(":", "iter", "user_idx"))
-    ranked = positions(log, "list", ["worth", "l_orderkey", "l_linenumber", "item_idx"], F.lpad(F.floor(F.col("worth") / 1000 + 10**9).cast("string"), 12, "0"), "rank")
-    return ranked.select("iter", "user_idx", "item_idx", F.col("relevance").alias("response"), F.col("relevance").cast("double"), "revenue", "rank")
-
-
 _BIG = "metric IN ('discounted_revenue', 'total_revenue')"
 
 
 @query(
     "metric_trajectory",
-    with_views(["yearly_metrics"], f"SELECT iter, metric, CASE WHEN {_BIG} THEN round(value, 2) ELSE round(value, 9) END AS value FROM yearly_metrics"),
+    with_views(["model_metrics"], f"SELECT model, phase, iter, metric, CASE WHEN {_BIG} THEN round(value, 2) ELSE round(value, 9) END AS value FROM model_metrics"),
 )
 def metric_trajectory(spark, d):
     big = F.col("metric").isin("discounted_revenue", "total_revenue")
-    out = mt.iteration_metrics(yearly_lists(spark, d), AT, ["iter"])
-    return out.withColumn("value", F.when(big, F.round("value", 2)).otherwise(F.round("value", 9)))
+    return model_metrics(spark, d).withColumn("value", F.when(big, F.round("value", 2)).otherwise(F.round("value", 9)))
 
 
-# one row per market segment, standing in for the compared models
 _METRICS = ["precision_at_k", "ndcg_at_k", "mrr", "hit_rate", "discounted_revenue"]
-
-
-def _segment_rows(spark, d):
-    """Long metric rows per market segment (as the model), phase and year."""
-    lists = yearly_lists(spark, d)
-    users = tb.users(spark, d).select("user_idx", F.col("segment").alias("model"))
-    rows = mt.iteration_metrics(lookup(lists, users, "user_idx"), AT, ["model", "iter"])
-    return rows.withColumn("phase", F.when(F.col("iter") <= tb.LAST_TRAIN_YEAR, "train").otherwise("test"))
-
-
-VIEWS["segment_metrics"] = (
-    ("yearly", "users"),
-    VIEWS["yearly_metrics"][1].replace("yearly", "(SELECT y.*, segment AS model FROM yearly y JOIN users USING (user_idx))")
-    .replace("iter, user_idx", "model, iter, user_idx").replace("GROUP BY 1, 2", "GROUP BY ALL").replace("SELECT iter, avg(p)", "SELECT model, iter, avg(p)")
-    .replace("GROUP BY iter", "GROUP BY ALL"),
-)
 _BOARD = "SELECT model, " + ", ".join(
     [f"sum(value) FILTER (metric = 'total_revenue' AND phase = '{p}') AS {p}_total_revenue" for p in ("train", "test")]
     + [f"avg(value) FILTER (metric = 'total_revenue' AND phase = '{p}') AS {p}_avg_revenue" for p in ("train", "test")]
     + [f"avg(value) FILTER (metric = '{m}' AND phase = '{p}') AS {p}_{m}" for p in ("train", "test") for m in _METRICS]
-) + f" FROM (SELECT *, CASE WHEN iter <= {tb.LAST_TRAIN_YEAR} THEN 'train' ELSE 'test' END AS phase FROM segment_metrics) GROUP BY model"
-VIEWS["board"] = (("segment_metrics",), f"SELECT *, (test_avg_revenue / train_avg_revenue - 1) * 100 AS change_pct FROM ({_BOARD})")
+) + " FROM model_metrics GROUP BY model"
+VIEWS["board"] = (
+    ("model_metrics",), f"SELECT *, (test_avg_revenue / CASE WHEN train_avg_revenue <> 0 THEN train_avg_revenue END - 1) * 100 AS change_pct FROM ({_BOARD})",
+)
 _BOARD_DIGITS = {
     **{f"{p}_{m}": 6 for p in ("train", "test") for m in _METRICS if m != "discounted_revenue"},
-    **{f"{p}_{m}": 2 for p in ("train", "test") for m in ("total_revenue", "avg_revenue", "discounted_revenue")}, "change_pct": 6,
+    **{f"{p}_{m}": n for p in ("train", "test") for m, n in (("total_revenue", 2), ("avg_revenue", 4), ("discounted_revenue", 2))}, "change_pct": 6,
 }
 
 
@@ -237,7 +270,7 @@ _BOARD_DIGITS = {
     with_views(["board"], "SELECT model, " + ", ".join(f"round({c}, {n}) AS {c}" for c, n in _BOARD_DIGITS.items()) + " FROM board"),
 )
 def leaderboard(spark, d):
-    board = prof.leaderboard(_segment_rows(spark, d))
+    board = prof.leaderboard(model_metrics(spark, d))
     return board.select("model", *[F.round(c, n).alias(c) for c, n in _BOARD_DIGITS.items()])
 
 
@@ -247,30 +280,30 @@ def leaderboard(spark, d):
         round(change_pct, 6) AS change_pct FROM board"""),
 )
 def train_test_comparison(spark, d):
-    board = prof.leaderboard(_segment_rows(spark, d))
+    board = prof.leaderboard(model_metrics(spark, d))
     return board.select(
         "model", F.round("train_total_revenue", 2).alias("train_total_revenue"), F.round("test_total_revenue", 2).alias("test_total_revenue"),
         F.round("change_pct", 6).alias("change_pct"),
     )
 
 
-_CORR_METRICS = ["precision_at_k", "ndcg_at_k", "mrr", "hit_rate"]
+_CORR_METRICS = ["precision_at_k", "mrr", "hit_rate", "discounted_revenue"]
 
 
 @query(
     "metric_correlation",
     with_views(
-        ["segment_metrics"],
+        ["model_metrics"],
         "SELECT a, b, round(corr, 6) AS corr FROM ("
         + " UNION ALL ".join(
-            f"SELECT '{a}' AS a, '{b}' AS b, corr(x.value, y.value) AS corr FROM segment_metrics x JOIN segment_metrics y USING (model, iter) WHERE x.metric = '{a}' AND y.metric = '{b}'"
+            f"SELECT '{a}' AS a, '{b}' AS b, corr(x.value, y.value) AS corr FROM model_metrics x JOIN model_metrics y USING (model, phase, iter) WHERE x.metric = '{a}' AND y.metric = '{b}'"
             for i, a in enumerate(_CORR_METRICS) for b in _CORR_METRICS[i:]
         )
         + ")",
     ),
 )
 def metric_correlation(spark, d):
-    wide = _segment_rows(spark, d).groupBy("model", "iter").pivot("metric", _CORR_METRICS).agg(F.first("value"))
+    wide = model_metrics(spark, d).groupBy("model", "phase", "iter").pivot("metric", _CORR_METRICS).agg(F.first("value"))
     return prof.correlations(wide, _CORR_METRICS).withColumn("corr", F.round("corr", 6))
 
 
