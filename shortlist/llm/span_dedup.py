@@ -15,37 +15,42 @@ from shortlist.llm import bloom, words
 from shortlist.llm.rows import pack, unpack
 from shortlist.session import durable, release
 
-RUN = 4  # sentences in a span
-MIN_WORDS = 12  # shorter spans are common phrases, not passages
-CLAUSE = 4  # one word in so many also ends a sentence
-PASSAGE_RUN = 3  # whole sentences in a passage, at least
-LONG = 64  # words; longer sentences, as of texts without punctuation, are cut further
-LONG_CUT = 16  # after one word in so many
+RUN = 2  # pieces in a span, at least
+MIN_WORDS = 25  # words in a span, at least; shorter ones are common phrases, not passages
+LONG = 16  # words; longer sentences are cut at inner punctuation, and what is still longer
+LONG_CUT = 4  # after one word in so many, by its hash
 BITS_PER_DOCUMENT = 512
 
 _END = np.zeros(256, bool)
 _END[[0x21, 0x2E, 0x3F]] = True  # ! . ?
+_INNER = np.zeros(256, bool)
+_INNER[[0x2C, 0x3A, 0x3B]] = True  # , : ;
 
 
-def sentences(raw: np.ndarray, offsets: np.ndarray, clause: int = CLAUSE, long: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def sentences(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Ends, hashes and word counts of the sentences, and where each text's sentences begin.
 
     A sentence ends before a line break, after . ! or ? with white space behind it, and with its
-    text. One of more than ``long`` words also ends after each word whose hash is a multiple of
-    ``clause``. This kind of end cuts the same words the same way wherever they stand, so a passage
-    within a longer sentence has sentences of its own. What has no word belongs to the sentence
-    before it, or to the first one.
+    text. One of more than ``LONG`` words also ends after , ; or : with white space behind it, and
+    what is still longer after each word whose hash is a multiple of ``LONG_CUT``. These ends cut the
+    same words the same way wherever they stand, so a passage within a longer sentence has sentences
+    of its own. What has no word belongs to the sentence before it, or to the first one.
     """
     starts, stops, word_bounds = words.word_spans(raw, offsets, words.WORD)
     hashes = words.word_hashes(raw, starts, stops)
     cut = np.zeros(len(raw) + 1, bool)
     cut[1:-1] = (_END[raw[:-1]] & words.SPACE[raw[1:]]) | (raw[1:] == 0x0A)
     cut[offsets] = True
-    cuts = hashes % np.uint64(clause) == 0
-    if long:
-        of = np.searchsorted(np.flatnonzero(cut), stops)
-        cuts &= (np.bincount(of) > long)[of]
-    cut[stops[cuts]] = True
+
+    def too_long(places: np.ndarray) -> np.ndarray:
+        """Whether each place lies in a sentence, as cut so far, of more than LONG words."""
+        points = np.flatnonzero(cut)
+        size = np.bincount(np.searchsorted(points, stops), minlength=len(points) + 1)
+        return size[np.searchsorted(points, places)] > LONG
+
+    inner = np.flatnonzero(_INNER[raw[:-1]] & words.SPACE[raw[1:]]) + 1
+    cut[inner[too_long(inner)]] = True
+    cut[stops[(hashes % np.uint64(LONG_CUT) == 0) & too_long(stops)]] = True
     points = np.flatnonzero(cut)
     points = points[points > 0]
     text_end = np.zeros(len(raw) + 1, bool)
@@ -66,31 +71,13 @@ def sentences(raw: np.ndarray, offsets: np.ndarray, clause: int = CLAUSE, long:
     return ends, words.mix(sums[last] - sums[first]), counts, np.searchsorted(ends, offsets, "right")
 
 
-def whole_sentences(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    return sentences(raw, offsets, LONG_CUT, LONG)
-
-
 def _spans(raw: np.ndarray, offsets: np.ndarray, run: int, min_words: int):
-    """Text number, place, size and two hashes of every run that counts."""
-    _, hashes, counts, bounds = sentences(raw, offsets)
-    spans, edges = words.window_hashes(hashes, bounds, run)
-    per_text = np.diff(edges)
-    text = np.repeat(np.arange(len(per_text)), per_text)
-    place = np.arange(len(spans)) - np.repeat(edges[:-1], per_text)
-    first = np.repeat(bounds[:-1], per_text) + place
-    size = np.minimum(np.repeat(np.diff(bounds), per_text), run)
-    total = np.concatenate([[0], np.cumsum(counts)])
-    kept = np.flatnonzero((size == run) & (total[first + size] - total[first] >= min_words))
-    return text[kept], place[kept], size[kept], spans[kept], words.mix(spans[kept] + hashes[first[kept]])
-
-
-def _long_spans(raw: np.ndarray, offsets: np.ndarray, run: int, min_words: int):
-    """Text number, place, size and two hashes of the shortest runs that count from and up to every whole sentence.
+    """Text number, place, size and two hashes of the shortest runs that count from and up to every sentence.
 
     A run has at least ``run`` sentences and ``min_words`` words. Those that begin at a sentence
     reach all but the end of a passage, those that end at one reach its end too.
     """
-    _, hashes, counts, bounds = whole_sentences(raw, offsets)
+    _, hashes, counts, bounds = sentences(raw, offsets)
     n = len(hashes)
     total = np.concatenate([[0], np.cumsum(counts)])
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -109,12 +96,12 @@ def _digests(h1: np.ndarray, h2: np.ndarray) -> bytes:
     return np.stack([h1, h2], 1).tobytes()
 
 
-def _filters(bits: int, spans, run: int, min_words: int):
+def _filters(bits: int, run: int, min_words: int):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
         for batch in batches:
             for _, _, raw, offsets in words.chunks(batch.column("text")):
-                _, _, _, h1, h2 = spans(raw, offsets, run, min_words)
+                _, _, _, h1, h2 = _spans(raw, offsets, run, min_words)
                 _, where, n = np.unique(h1, return_index=True, return_counts=True)
                 at = bloom.places(_digests(h1[where], h2[where]), bits)
                 bloom.put(twice, at[bloom.has(once, at) | (n > 1)])
@@ -124,14 +111,14 @@ def _filters(bits: int, spans, run: int, min_words: int):
     return build
 
 
-def _suspects(spans, run: int, min_words: int, bits: int, held):
+def _suspects(run: int, min_words: int, bits: int, held):
     """Runs that the filter of repeated ones holds."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeated = np.frombuffer(held.value, np.uint8)
         for batch in batches:
             for begin, last, raw, offsets in words.chunks(batch.column("text")):
-                text, place, size, h1, h2 = spans(raw, offsets, run, min_words)
+                text, place, size, h1, h2 = _spans(raw, offsets, run, min_words)
                 hit = bloom.has(repeated, bloom.places(_digests(h1, h2), bits)) if len(h1) else np.zeros(0, bool)
                 of = pa.array(text[hit] + begin)
                 yield pa.record_batch(
@@ -143,10 +130,10 @@ def _suspects(spans, run: int, min_words: int, bits: int, held):
     return hashed
 
 
-def _cut(text: str, gone, cutter=sentences) -> tuple[str, int]:
+def _cut(text: str, gone) -> tuple[str, int]:
     """The text without the sentences whose numbers are in ``gone``, and the number of sentences."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    ends = cutter(raw, np.array([0, len(raw)]))[0]
+    ends = sentences(raw, np.array([0, len(raw)]))[0]
     if len(ends) == 0:
         return text, 0
     if gone is None or len(gone) == 0:
@@ -159,22 +146,22 @@ def _cut(text: str, gone, cutter=sentences) -> tuple[str, int]:
     return b"".join(raw[edges[i] : edges[i + 1]].tobytes() for i in np.flatnonzero(~drop)).decode("utf-8", "surrogatepass"), len(ends)
 
 
-def _without(cutter):
-    @F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_sentences", T.LongType())]))
-    def without(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_cut(t, g, cutter) for t, g in zip(texts, gone)], columns=["text", "n_sentences"])
+@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_sentences", T.LongType())]))
+def _without(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([_cut(t, g) for t, g in zip(texts, gone)], columns=["text", "n_sentences"])
 
-    return without
 
-
-def drop_repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
+def drop_repeated_passages(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` (doc_id, text, other columns) with ``text`` reduced, and n_sentences, n_removed added.
 
-    For sentences see ``sentences``; two are equal if their words are, with A-Z lower-cased. Every run of ``run``
-    consecutive sentences with at least ``min_words`` words is looked up among the runs of all
-    texts. The first occurrence is the one in the smallest doc_id (none before all others), there
-    at the smallest place; sentences that any other occurrence covers are removed. A text of fewer
-    sentences has no run. Null and empty texts stay. Rows with equal doc_id and text are one
+    For sentences see ``sentences``; two are equal if their words are, with A-Z lower-cased. Runs of
+    ``run`` consecutive sentences or more, as long as ``min_words`` words need, from and up to every
+    sentence, are looked up among those of all texts. The first occurrence is the one in the
+    smallest doc_id (none before all others), there at the smallest place; sentences that any other
+    occurrence covers are removed. Of a passage that begins or ends inside a sentence of more than
+    ``LONG`` words the words up to the first and after the last cut stay.
+
+    A shorter text has no run. Null and empty texts stay. Rows with equal doc_id and text are one
     document, and each is reduced alike. All other columns are passed through; one named n_sentences
     or n_removed is replaced.
 
@@ -182,30 +169,14 @@ def drop_repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WO
     place. How often one occurs and where first is combined before the shuffle, so a passage in any
     share of the texts meets no single task.
     """
-    return _drop(docs, sentences, _spans, run, min_words)
-
-
-def drop_repeated_passages(docs: DataFrame, run: int = PASSAGE_RUN, min_words: int = MIN_WORDS) -> DataFrame:
-    """As ``drop_repeated_spans``, but of whole sentences, in runs that grow until they have ``min_words`` words.
-
-    So of every passage that is repeated with its sentences, and has at least ``run`` sentences and
-    ``min_words`` words, all sentences but those of the first occurrence go, short as they may be.
-    A sentence goes as a whole; words shared inside different sentences stay. Only sentences of
-    more than ``LONG`` words are cut further, after one word in ``LONG_CUT``; parts of a repeated
-    passage at the edges of such a cut stay.
-    """
-    return _drop(docs, whole_sentences, _long_spans, run, min_words)
-
-
-def _drop(docs: DataFrame, cutter, spans, run: int, min_words: int) -> DataFrame:
     names = docs.columns
     docs = pack(docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string")), "doc_id", "text")
     text = F.coalesce("text", F.lit("")).alias("text")
     texts = docs.select("doc_id", text).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     bits = bloom.size_for(docs.count(), BITS_PER_DOCUMENT)
-    pieces = texts.select("text").mapInArrow(_filters(bits, spans, run, min_words), bloom.PIECES)
+    pieces = texts.select("text").mapInArrow(_filters(bits, run, min_words), bloom.PIECES)
     held = docs.sparkSession.sparkContext.broadcast(bloom.collect(pieces, bits, "twice"))
-    runs = durable(texts.mapInArrow(_suspects(spans, run, min_words, bits, held), "doc_id long, text_hash long, place int, size int, h1 long, h2 long"))
+    runs = durable(texts.mapInArrow(_suspects(run, min_words, bits, held), "doc_id long, text_hash long, place int, size int, h1 long, h2 long"))
     where = F.struct("doc_id", "text_hash", "place")
     often = runs.groupBy("h1", "h2").agg(F.min(where).alias("first"), F.max(where).alias("last"))
     often = durable(often.where("first <> last").select("h1", "h2", "first"))
@@ -215,7 +186,7 @@ def _drop(docs: DataFrame, cutter, spans, run: int, min_words: int) -> DataFrame
     release(often, runs)
     keyed = docs.withColumn("_key", F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")))
     joined = keyed.join(gone.hint("shuffle_hash"), F.col("_key") == F.col("_of"), "left")
-    cut = joined.withColumn("_cut", _without(cutter)(F.coalesce("text", F.lit("")), F.col("_gone")))
+    cut = joined.withColumn("_cut", _without(F.coalesce("text", F.lit("")), F.col("_gone")))
     reduced = cut.select(
         "doc_id", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.col("_cut.text")).alias("text"), "_rest",
         F.col("_cut.n_sentences").alias("n_sentences"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
