@@ -22,6 +22,7 @@ NO_LANG = "und"
 NEVER = 255  # a stop that never comes
 MOST_CELLS = 1 << 27  # of the table of stops: 128 MB, whatever the input
 CELLS_PER_DOCUMENT = 64
+CHECK = np.uint64(0xFFFFFFFF)
 SUMS = "key long, n long, check long, home long"
 FLUSH = 2_000_000  # phrases that a task holds before it sums them up
 
@@ -72,26 +73,18 @@ def _stops(cells: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    """(key, n, check, home): occurrences, the wrapped sum of their second hashes, and the first text that has one."""
+    """(key, n, check, home): occurrences, the sum of their second hashes modulo 2^32, and the first text that has one."""
     keys, two, homes = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     n = np.diff(np.append(first, len(keys)))
-    check = np.add.reduceat(two[order], first) if len(keys) else two
+    check = np.add.reduceat(two[order], first) & CHECK if len(keys) else two
     home = np.minimum.reduceat(homes[order], first) if len(keys) else homes
     columns = [keys[first].view(np.int64), n, check.view(np.int64), home]
     return pa.record_batch([pa.array(c) for c in columns], names=["key", "n", "check", "home"])
 
 
-def _wrapped_sum(column: str) -> Column:
-    """Sum of longs modulo 2^64, which plain sums refuse to wrap: by halves."""
-    low, high = F.col(column).bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftright(column, 32).bitwiseAND(F.lit(0xFFFFFFFF))
-    sums = F.sum(low), F.sum(high)
-    top = F.shiftleft((sums[1] + F.shiftrightunsigned(sums[0], 32)).bitwiseAND(F.lit(0xFFFFFFFF)), 32)
-    return top.bitwiseOR(sums[0].bitwiseAND(F.lit(0xFFFFFFFF)))
-
-
 def _occurrences(step: int, shards: int, max_words: int, held):
     """Counts of the phrases that are active in a step. A key is 56 bits of the phrase's hash, 6 bits
     of the stop that activated it and 2 of its number of words less one."""
@@ -180,7 +173,7 @@ def _frequent(texts: DataFrame, cells: int, min_count: int, max_words: int, shar
         counts = texts.where(F.col("_shard") == step % shards).select("_id", "_seed", "_text").mapInArrow(scan, SUMS)
         counts = counts.withColumn("reached", F.lit(False))
         both = counts if state is None else counts.unionByName(state)
-        sums = [F.sum("n").alias("n"), _wrapped_sum("check").alias("check"), F.min("home").alias("home")]
+        sums = [F.sum("n").alias("n"), F.sum("check").bitwiseAND(F.lit(int(CHECK))).alias("check"), F.min("home").alias("home")]
         seen = durable(both.groupBy("key").agg(*sums, F.max("reached").alias("reached")))
         held.unpersist()
         if kept is not None:
@@ -230,7 +223,7 @@ def _names(max_words: int):
                         one = hit[one]
                         for j, w, g in zip(place[one].tolist(), at[one].tolist(), two[one]):
                             phrase = b" ".join(body[text.starts[w] : text.ends[w + k - 1]].split()) if k > 1 else body[text.starts[w] : text.ends[w]]
-                            alone = (n[j : j + 1].view(np.uint64) * g)[0] == check[j : j + 1].view(np.uint64)[0]
+                            alone = int(n[j]) * int(g) & int(CHECK) == int(check[j])
                             rows.append((langs[i], k, phrase.decode(), int(n[j]), int(ids[j]), bool(alone)))
             columns = list(zip(*rows)) or [()] * 6
             kinds = (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.bool_())

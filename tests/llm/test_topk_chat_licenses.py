@@ -36,6 +36,25 @@ def test_topk(spark, monkeypatch):
     assert run_topk(spark, [], 20, 20) == []
 
 
+def test_large_components(spark, monkeypatch):
+    """Whole numbers beyond 32 bits, products beyond 64 bits, and components that have no 64-bit number."""
+    monkeypatch.setattr(block_topk, "BLOCK", 2)
+    least, most = -(2**63) + 1, 2**63 - 1
+    floats = [1e9, -1e9, 2.0**40, -(2.0**40), 1.0, -3.25, 1e300, -1e300, 0.0]
+    rng = np.random.default_rng(9)
+    rows = [(i, [floats[j] for j in rng.integers(0, 6 if i < 30 else 9, 3)]) for i in range(45)]
+    whole = {i: tuple(min(max(math.floor(64 * x), -(2**63)), most) for x in v) for i, v in rows}
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    v = block_topk.quantised(frame)
+    assert {r.vec_id: tuple(r.vector) for r in v.collect()} == whole
+    got = sorted(map(tuple, block_topk.top_products(v, v.where("vec_id % 5 = 0"), 6).collect()))
+    want = []
+    for i in range(0, 45, 5):
+        scored = sorted((-min(max(sum(a * b for a, b in zip(whole[i], w)), least), most), j) for j, w in whole.items() if j != i)[:6]
+        want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scored)]
+    assert got == sorted(want)
+
+
 def test_blocks_are_skipped_without_loss(monkeypatch):
     monkeypatch.setattr(block_topk, "BLOCK", 16)
     rng = np.random.default_rng(4)
