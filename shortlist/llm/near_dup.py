@@ -172,20 +172,20 @@ def _compared(docs: DataFrame, reps: DataFrame, near: DataFrame, rule: Rule) ->
     """Each pair (a, b) of ``near`` with its full sets as set_a and set_b. The texts of all
     documents in a pair are read again; a filter of their ids keeps all others out of the work, and
     no text is shuffled."""
-    side = lambda s: near.select(F.col(s).alias("doc_id"), F.lit(s == "a").alias("as_a"), F.lit(s == "b").alias("as_b"))
-    wanted = side("a").unionAll(side("b")).groupBy("doc_id").agg(F.max("as_a").alias("as_a"), F.max("as_b").alias("as_b"))
-    wanted = durable(wanted.join(reps.select(F.col("rep").alias("doc_id"), "h1", "h2"), "doc_id"))
+    side = lambda s: near.select(F.col(s).alias("rep"), F.lit(s == "a").alias("as_a"), F.lit(s == "b").alias("as_b"))
+    wanted = side("a").unionAll(side("b")).groupBy("rep").agg(F.max("as_a").alias("as_a"), F.max("as_b").alias("as_b"))
+    wanted = durable(wanted.join(reps.select("rep", "doc_id", "h1", "h2"), "rep"))
     bits, ids = bloom.of_ids(wanted.select("doc_id"))
     held = docs.sparkSession.sparkContext.broadcast(ids)
     sets = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         _setter(rule.shingle, bits, held), "doc_id long, h1 long, h2 long, shingles array<long>")
-    # repeated rows of a doc_id give the same set again; each is taken once
+    # rows of one doc_id with another text are another class; repeated ones give the same set again
     sets = durable(
-        sets.join(_side(wanted, "w", "doc_id"), "doc_id").where("h1 = h1_w and h2 = h2_w")
-        .groupBy("doc_id").agg(F.first("shingles").alias("shingles"), F.max("as_a_w").alias("as_a"), F.max("as_b_w").alias("as_b"))
+        sets.join(wanted, ["doc_id", "h1", "h2"])
+        .groupBy("rep").agg(F.first("shingles").alias("shingles"), F.max("as_a").alias("as_a"), F.max("as_b").alias("as_b"))
     )
     release(wanted)
-    a, b = (sets.where(f"as_{s}").select(F.col("doc_id").alias(s), F.col("shingles").alias(f"set_{s}")) for s in "ab")
+    a, b = (sets.where(f"as_{s}").select(F.col("rep").alias(s), F.col("shingles").alias(f"set_{s}")) for s in "ab")
     return near.join(a, "a").join(b, "b")
 
 
@@ -266,23 +266,23 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
     Words are runs of characters other than ASCII white space, with A-Z lower-cased. A text's set
     holds its runs of ``rule.shingle`` words; a shorter text is one run; null and empty texts have
-    an empty set and are linked with nothing. Equal sets form a class, represented by its smallest
-    doc_id, so copies are never paired with one another. Classes that share an index key are
-    candidates. First each is compared in full with the smallest of its key, which joins a group of
-    copies in one step however large it is. Then texts of one such head in different components
-    are joined on the differences from it that they have in common, and the few texts that were
-    too unlike their head to be compared are taken pair by pair across components. component_id is the smallest doc_id reached, kept
-    says that it is the row's own. Repeated rows of a doc_id each get a row. A row without doc_id
-    has no component and is kept. Other columns of ``docs`` are not read.
+    an empty set and are linked with nothing. Equal sets form a class, so copies are never paired
+    with one another. Classes that share an index key are candidates; the first of a key is its
+    head. Each class is compared in full with the first of its heads, which joins most of a group
+    of near copies in one step however large it is. Only where the texts of a head are then in
+    different components, the others are compared with it too and joined on the differences from it
+    that they have in common, and the few texts that were too unlike their head to be compared are
+    taken pair by pair across components. component_id is the smallest doc_id reached, kept says
+    that it is the row's own. Rows of one doc_id with different texts are in the components of
+    their texts; repeated rows each get a row. A row without doc_id has no component and is kept.
+    Other columns of ``docs`` are not read.
     """
     signed = durable(signatures(docs, rule))
     some = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = some.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
-    reps = durable(
-        some.groupBy("h1", "h2").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")
-        )
+    reps = some.groupBy("h1", "h2").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")
     )
+    reps = durable(reps.withColumn("rep", F.monotonically_increasing_id()))  # classes are numbered as they are stored
     keys = index_keys(reps, rule)
     heads = keys.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("top")).where("head < top")
     shared = durable(keys.join(heads, "key").select("key", "rep", "head"))
@@ -293,10 +293,20 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         stars.join(_side(traits, "a"), "rep_a").join(_side(traits, "b"), "rep_b").where(_worth_confirming(rule))
         .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
     )
-    apart = _against_heads(docs, reps, stars, rule)
-    links = apart.where("linked").select("a", "b")
-    placed = durable(components(links))
-    links = durable(links.unionAll(_links_by_differences(apart, placed, rule)))
+    nearest = _against_heads(docs, reps, stars.groupBy("a").agg(F.min("b").alias("b")), rule)
+    direct = durable(nearest.where("linked").select("a", "b"))
+    early = durable(components(direct))
+    at = lambda s: early.select(F.col("node").alias(s), F.col("component").alias(f"in_{s}"))
+    located = stars.join(at("a"), "a", "left").join(at("b"), "b", "left").select("b", *[F.coalesce(f"in_{s}", s).alias(f"in_{s}") for s in "ab"])
+    mixed = located.groupBy("b").agg(F.min(F.least("in_a", "in_b")).alias("lo"), F.max(F.greatest("in_a", "in_b")).alias("hi"))
+    mixed = durable(mixed.where("lo < hi").select("b"))
+    others = durable(stars.join(mixed, "b", "left_semi").select("a", "b").join(nearest.select("a", "b"), ["a", "b"], "left_anti"))
+    further = _against_heads(docs, reps, others, rule)
+    apart = durable(nearest.join(mixed, "b", "left_semi").select(nearest.columns).unionByName(further))
+    known = durable(direct.unionAll(further.where("linked").select("a", "b")))
+    release(nearest, direct, early, mixed, others, further)
+    placed = durable(components(known))
+    links = durable(known.unionAll(_links_by_differences(apart, placed, rule)))
 
     # texts that were too unlike their key's head to be compared with it: every pair with them
     rows = shared.join(placed, F.col("rep") == F.col("node"), "left").select(
@@ -312,10 +322,12 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
     )
     final = durable(components(links.unionAll(_confirmed(docs, reps, rest, rule))))
-    release(shared, stars, apart, placed, links, rows, rest)
+    release(shared, stars, apart, known, placed, links, rows, rest)
 
-    labelled = classes.join(final, F.col("rep") == F.col("node"), "left").select(
-        "h1", "h2", F.coalesce("component", "rep").alias("component_id"))
+    labelled = reps.join(final, F.col("rep") == F.col("node"), "left").select(
+        "h1", "h2", "doc_id", F.coalesce("component", "rep").alias("component"))
+    least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    labelled = labelled.select("h1", "h2", "component").join(least, "component").select("h1", "h2", "component_id")
     alone = signed.where("n_shingles = 0 or doc_id is null").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     result = some.join(labelled, ["h1", "h2"]).select("doc_id", "n_shingles", "component_id").unionAll(alone)

@@ -105,3 +105,11 @@ def test_long_chain(spark):
     edges = [(i, i + 1) for i in range(300)] + [(500, 501)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(301)}, 500: 500, 501: 500}
+
+
+def test_one_id_with_different_texts(docs):
+    """Rows of one doc_id belong to the components of their own texts; no link of either is lost."""
+    one, two = (" ".join(f"{a}{i}" for i in range(60)) for a in "xy")
+    rows = [(1, one), (1, two), (2, two + " more"), (3, one), (4, " ".join(f"z{i}" for i in range(60))), (2, "z0 z1"), (5, two + " less")]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(docs(rows), near_dup.Rule(3, 85)).collect())
+    assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (2, 2, True), (3, 1, False), (4, 4, True), (5, 1, False)]
