@@ -130,25 +130,28 @@ def _suspects(run: int, min_words: int, bits: int, held):
     return hashed
 
 
-def _cut(text: str, gone) -> tuple[str, int]:
-    """The text without the sentences whose numbers are in ``gone``, and the number of sentences."""
+def _cut(text: str, gone) -> tuple[str, int, int]:
+    """The text without the sentences that the runs ``gone`` cover, the number of sentences, and how many went."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     ends = sentences(raw, np.array([0, len(raw)]))[0]
     if len(ends) == 0:
-        return text, 0
+        return text, 0, 0
     if gone is None or len(gone) == 0:
-        return text, len(ends)
+        return text, len(ends), 0
     # white space at a text's start or end goes with the nearest sentence
     edges = np.concatenate([[0], ends])
     edges[-1] = len(raw)
-    drop = np.zeros(len(ends), bool)
-    drop[np.asarray(gone)] = True
-    return b"".join(raw[edges[i] : edges[i + 1]].tobytes() for i in np.flatnonzero(~drop)).decode("utf-8", "surrogatepass"), len(ends)
+    gone = np.asarray(gone, np.int64)
+    change = np.zeros(len(ends) + 1, np.int64)
+    np.add.at(change, gone >> 32, 1)
+    np.add.at(change, (gone >> 32) + (gone & 0xFFFFFFFF), -1)
+    kept = np.flatnonzero(np.cumsum(change)[:-1] == 0)
+    return b"".join(raw[edges[i] : edges[i + 1]].tobytes() for i in kept).decode("utf-8", "surrogatepass"), len(ends), len(ends) - len(kept)
 
 
-@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_sentences", T.LongType())]))
+@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType())]))
 def _without(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_cut(t, g) for t, g in zip(texts, gone)], columns=["text", "n_sentences"])
+    return pd.DataFrame([_cut(t, g) for t, g in zip(texts, gone)], columns=["text", "n_sentences", "n_removed"])
 
 
 def drop_repeated_passages(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
@@ -178,17 +181,18 @@ def drop_repeated_passages(docs: DataFrame, run: int = RUN, min_words: int = MIN
     held = docs.sparkSession.sparkContext.broadcast(bloom.collect(pieces, bits, "twice"))
     runs = durable(texts.mapInArrow(_suspects(run, min_words, bits, held), "doc_id long, text_hash long, place int, size int, h1 long, h2 long"))
     where = F.struct("doc_id", "text_hash", "place")
-    often = runs.groupBy("h1", "h2").agg(F.min(where).alias("first"), F.max(where).alias("last"))
-    often = durable(often.where("first <> last").select("h1", "h2", "first"))
-    covered = runs.join(often, ["h1", "h2"]).where(where != F.col("first"))
-    gone = covered.select("doc_id", "text_hash", F.explode(F.sequence(F.col("place"), F.col("place") + F.col("size") - 1)).alias("place"))
-    gone = durable(gone.groupBy(F.struct("doc_id", "text_hash").alias("_of")).agg(F.array_sort(F.collect_set("place")).alias("_gone")))
-    release(often, runs)
+    firsts = durable(runs.groupBy("h1", "h2").agg(F.min(where).alias("first")))
+    covered = runs.join(firsts, ["h1", "h2"]).where(where != F.col("first"))
+    # a covered run as one number: its place and its size
+    span = F.shiftleft(F.col("place").cast("long"), 32).bitwiseOR(F.col("size").cast("long")).alias("span")
+    covered = covered.select(F.struct("doc_id", "text_hash").alias("_of"), span)
+    gone = durable(covered.groupBy("_of").agg(F.collect_list("span").alias("_gone")))
+    release(firsts, runs)
     keyed = docs.withColumn("_key", F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")))
     joined = keyed.join(gone.hint("shuffle_hash"), F.col("_key") == F.col("_of"), "left")
     cut = joined.withColumn("_cut", _without(F.coalesce("text", F.lit("")), F.col("_gone")))
     reduced = cut.select(
         "doc_id", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.col("_cut.text")).alias("text"), "_rest",
-        F.col("_cut.n_sentences").alias("n_sentences"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
+        "_cut.n_sentences", "_cut.n_removed",
     )
     return unpack(reduced, names, ("doc_id", "text"), ("n_sentences", "n_removed"))
