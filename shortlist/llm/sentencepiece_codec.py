@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,7 @@ NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6  # fixed: piece types of a
 UNIGRAM, BPE = 1, 2  # fixed: model types
 DECODE_IDS = 1 << 18
 UNKNOWN_PENALTY = 10.0  # fixed: an unknown character scores so much less than the worst piece
-CACHE_CHARS, CACHE_ENTRIES = 48, 240_000
+CACHE_CHARS, CACHE_ENTRIES = 48, 400_000
 CACHE_PAIRS = 1 << 19
 
 
@@ -56,8 +56,8 @@ class Codec:
             for ch in piece[:-1]:
                 node = node.setdefault(ch, [None, {}])[1]
             node.setdefault(piece[-1], [None, {}])[0] = i
-        self.cache: dict[bytes, list[int]] = {}
-        self.older: dict[bytes, list[int]] = {}
+        self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.pairs: dict[int, bool] = {}
         self.edges: dict[int, tuple] = {}
 
@@ -175,6 +175,10 @@ class Codec:
                                 fits = pairs[code] = self._may_follow(left, piece)
                             if fits:
                                 back[to], last[to] = start, piece
+                        if end == n and last[to] >= 0:
+                            # one path reaches each position, and that of the end is complete
+                            yield from self._path(back, last, base, n)
+                            return
                 else:
                     value = total[at] + (self.score[piece] if piece < size else self.unknown_score)
                     if last[to] < 0 or value > total[to]:
@@ -255,8 +259,8 @@ class Codec:
             hashes = words.word_hashes(raw, starts, ends, words.SAME)
             _, where, which = np.unique(hashes, return_index=True, return_inverse=True)
             lists = [self._word_ids(raw[starts[i] : ends[i]].tobytes()) for i in where]
-            lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum()))
+            lengths = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+            flat = np.frombuffer(b"".join(lists), np.int32)
             at = np.concatenate([[0], np.cumsum(lengths)])
             each = lengths[which]
             edges = np.concatenate([[0], np.cumsum(each)])
@@ -265,13 +269,14 @@ class Codec:
         flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(counts)), pa.int32()), pa.array(flat, pa.int32()))
 
-    def _word_ids(self, word: bytes) -> list[int]:
+    def _word_ids(self, word: bytes) -> bytes:
+        """The ids of a word, four bytes each."""
         ids = self.cache.get(word)
         if ids is None:
             # words that were not asked for since the cache was last full are forgotten
             ids = self.older.get(word)
             if ids is None:
-                ids = list(self._ids_of(self.pieces(word.decode().replace(" ", SPACE))))
+                ids = array("i", self._ids_of(self.pieces(word.decode().replace(" ", SPACE)))).tobytes()
             if len(word) <= CACHE_CHARS:
                 if len(self.cache) >= CACHE_ENTRIES:
                     self.cache, self.older = {}, self.cache
