@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shortlist.llm import decontaminate, line_dedup, near_dup, quality, sentencepiece_codec
 from shortlist.llm.queries import PIECE_MODEL, table
+from shortlist.llm.rows import pack, unpack
 from shortlist.session import configure, durable
 
 #: the stages hold trained numbers and 64-bit hashes that SQL cannot state; the tests compare them with brute force
@@ -30,7 +31,10 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share stay in one of them; n_chars follows the text."""
     configure(spark)
-    cut = line_dedup.drop_repeated_lines(docs).select(docs.columns)
+    cut = line_dedup.drop_repeated_lines(pack(docs, "doc_id", "text"))
+    cut = unpack(cut, docs.columns, ("doc_id", "text"))
+    if "n_chars" not in docs.columns:
+        return cut
     return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 

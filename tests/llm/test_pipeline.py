@@ -54,3 +54,19 @@ def test_stages(spark):
     want = {i: codec.encode(t) for i, t in rows[4]}
     assert got == {i: (len(ids), ids, True) for i, ids in want.items()}
     assert sorted(corpus_pipeline.run(spark, SF).select("doc_id").collect()) == sorted((i,) for i in want)
+
+
+def test_stages_with_odd_rows_and_columns(spark, docs):
+    """Nulls, empty and repeated texts, an empty table, no n_chars, and columns named as the operators' own."""
+    rows = [(1, None), (2, ""), (None, "a text without an id"), (3, "one line\n" * 3), (3, "one line\n" * 3), (None, None), (4, "x")]
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        table = docs(rows)
+        out = stage(spark, table, SF)
+        assert out.columns == table.columns and out.dtypes == table.dtypes, name
+        kept = out.collect()
+        assert {(r.n_lines, r.component_id, r["_key"], r.ids, r["_rest"]) for r in kept} == {(7, "c", 1, "x", 0.5)}, name
+        assert len(kept) == len(rows), name
+        empty = stage(spark, docs([]), SF)
+        assert empty.columns == table.columns and empty.count() == 0, name
+    _, last = corpus_pipeline.STAGES[4]
+    assert sorted((r.doc_id or 0, r.n_ids, r.round_trip) for r in last(spark, docs(rows), SF).collect())[0][2] and last(spark, docs([]), SF).count() == 0
