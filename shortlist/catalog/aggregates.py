@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shortlist.catalog.base import K, VIEWS, query, with_views
+from shortlist.catalog.base import K, SEED, VIEWS, query, with_views
+from shortlist.functions.randomness import uniform, uniform_sql
 from shortlist.operators import features as feat
 from shortlist.operators import popularity as pop, profile as prof
+from shortlist.operators.impute import Fill
 from shortlist.plans.ordering import exact_percentiles
 from shortlist.sources import tables as tb
 
@@ -293,6 +295,26 @@ def impute_values(spark, d):
     return feat.impute_values(tb.table(spark, d, "part"), ["p_type", "p_brand"], ["p_size"])
 
 
+_HOLES = {"category": "p_type", "brand": "p_brand", "size": "p_size", "price": "p_retailprice"}
+
+
+@query(
+    "imputed_items",
+    "WITH holes AS (SELECT p_partkey AS item_idx, "
+    + ", ".join(f"CASE WHEN {uniform_sql(f'{SEED}/hole {c}', 'p_partkey')} >= 0.2 THEN {source} END AS {c}" for c, source in _HOLES.items())
+    + " FROM part) SELECT item_idx, "
+    + ", ".join(f"coalesce({c}, (SELECT {c} FROM holes WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}" for c in ("category", "brand"))
+    + ", " + ", ".join(f"round(coalesce({c}::DOUBLE, (SELECT avg({c}) FROM holes)), 6) AS {c}" for c in ("size", "price"))
+    + " FROM holes",
+)
+def imputed_items(spark, d):
+    """Items of which a fifth of the values is missing, filled by what the rest of the table says."""
+    gaps = [F.when(uniform(f"{SEED}/hole {c}", "p_partkey") >= 0.2, F.col(source)).alias(c) for c, source in _HOLES.items()]
+    holes = tb.table(spark, d, "part").select(F.col("p_partkey").alias("item_idx"), *gaps)
+    filled = Fill(textCols=["category", "brand"], numericCols=["size", "price"]).fit(holes).transform(holes)
+    return filled.withColumns({c: F.round(c, 6) for c in ("size", "price")})
+
+
 @query(
     "top_spenders",
     with_views(["log"], "SELECT user_idx, round(sum(revenue), 2) AS revenue FROM log GROUP BY 1 ORDER BY 2 DESC, 1 DESC LIMIT 10"),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,11 +47,36 @@ class IterationLog:
         return self.spark.read.parquet(folders[visible[0]]).schema if visible else None
 
     def append(self, df: DataFrame, label: str) -> None:
+        """Add ``df`` under a new label, whole or not at all.
+
+        The rows are written to a folder that readers skip and moved into place by one rename, which
+        fails if the label has come into being meanwhile: of two writers one wins, and the other, or
+        a write that breaks off, leaves nothing behind. An empty table adds no label.
+        """
         label = str(label)
         if label in self._folders():
             raise ValueError(f"iteration {label!r} is already in the log")
         self.check(df)
-        df.withColumn(ITERATION, F.lit(label)).write.mode("append").partitionBy(ITERATION).parquet(self.path)
+        staging = f"{self.path}/_staging-{uuid.uuid4().hex}"
+        path, fs = hadoop_path(self.spark, staging)
+        try:
+            df.withColumn(ITERATION, F.lit(label)).write.partitionBy(ITERATION).parquet(staging)
+            for name in [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]:
+                self._move(f"{staging}/{name}", f"{self.path}/{name}", label)
+        finally:
+            fs.delete(path, True)
+
+    def _move(self, source: str, target: str, label: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        (old, _), (new, _) = hadoop_path(self.spark, source), hadoop_path(self.spark, target)
+        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), conf).rename(old, new, options)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in error.java_exception.getClass().getName():
+                raise ValueError(f"iteration {label!r} is already in the log") from None
+            raise
 
     def check(self, df: DataFrame) -> None:
         """Same names and types as the first write, in any order; nullability does not count."""
