@@ -62,25 +62,43 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+# the steps of a text's normal form, see licenses.marked: pattern, replacement
+_LICENSE_FORM = [
+    (r"\n[^a-z0-9\n]*\n[^a-z0-9]*", "\x02"), (r"\n[^a-z0-9\n]*(?:(?:rem|dnl)[ \t]+)?", "\n"), (r"[.!?;:][ \t\r\n][^a-z0-9\x02]*", "\x01"),
+    (r"[^a-z0-9\n\x01\x02]+", " "), (r"[ \n\x01]+([\x01\x02])", r"\1"), (r" \n", "\n"),
+]
+
+
 def _license_sql() -> str:
-    parts = {k: re.sub(r"([.!?;:])[ \t\r]+", "\\1\n", v).split("\n") for k, v in licenses.SENTENCES.items()}
-    normal = {k: max((re.sub("[^a-z0-9]+", " ", x.lower()).strip() for x in v), key=lambda x: (len(x), x)) for k, v in parts.items()}
-    known = ", ".join(f"('{k}', '{v}')" for k, v in normal.items())
+    known, form = [], "lower(chr(10) || coalesce(text, '') || chr(10))"
+    for name, sentence in licenses.SENTENCES.items():
+        normal = f"\n{sentence}\n".lower()
+        for pattern, new in _LICENSE_FORM:
+            normal = re.sub(pattern, new, normal)
+        known.append(f"('{name}', '{normal.replace(chr(10), ' ').strip(chr(1) + chr(2) + ' ')}')")
+    for pattern, new in _LICENSE_FORM:
+        form = f"regexp_replace({form}, '{pattern}', '{new}', 'g')"
     line, names = "l.line", []
     for name, ids in sorted(licenses.RULES, key=lambda r: (-len(r[1]), r[0], r[1])):
         run = f"' {' '.join(ids)} '"
         names.append(f"CASE WHEN contains({line}, {run}) THEN '{name}' END")
         line = f"replace({line}, {run}, ' | ')"
-    return f"""WITH known(sentence_id, normal) AS (VALUES {known}),
-        parts AS (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '([.!?;:])[ \t\r]+', '\\1' || chr(10), 'g'), chr(10)) AS p FROM documents),
-        one AS (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM parts),
-        found AS (SELECT DISTINCT doc_id, i, sentence_id FROM (
-          SELECT doc_id, i, trim(regexp_replace(lower(p[i]), '[^a-z0-9]+', ' ', 'g')) AS normal FROM one) JOIN known USING (normal)),
-        l AS (SELECT doc_id, count(*) AS n, string_agg(sentence_id, ',' ORDER BY i, sentence_id) AS ids,
-                     ' ' || string_agg(sentence_id, ' ' ORDER BY i, sentence_id) || ' ' AS line FROM found GROUP BY doc_id)
-        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_sentences, coalesce(ids, '') AS sentence_ids,
+    edge = f"IN ('', '\n', '{chr(1)}', '{chr(2)}')"
+    return f"""WITH known(sentence_id, normal) AS (VALUES {', '.join(known)}),
+        forms AS (SELECT doc_id, hash(text) AS th, {form} AS form FROM documents GROUP BY ALL),
+        parts AS (SELECT doc_id, th, form, sentence_id, normal, string_split(translate(form, '\n', ' '), normal) AS p
+                  FROM forms JOIN known ON contains(translate(form, '\n', ' '), normal)),
+        places AS (SELECT doc_id, th, form, sentence_id, length(normal) AS size, unnest(list_transform(range(1, len(p)),
+                     lambda i: 1 + (i - 1) * length(normal) + list_sum(list_transform(p[1:i], lambda x: length(x)))))::BIGINT AS s FROM parts),
+        hits AS (SELECT DISTINCT doc_id, th, sentence_id, s, s + size AS e FROM places
+                 WHERE CASE WHEN s > 1 THEN substr(form, s - 1, 1) ELSE '' END {edge} AND substr(form, s + size, 1) {edge}),
+        found AS (SELECT * FROM hits h WHERE NOT EXISTS (
+                    SELECT 1 FROM hits g WHERE g.doc_id IS NOT DISTINCT FROM h.doc_id AND g.th IS NOT DISTINCT FROM h.th AND g.e >= h.e AND (g.s < h.s OR g.s = h.s AND g.e > h.e))),
+        l AS (SELECT doc_id, th, count(*) AS n, string_agg(sentence_id, ',' ORDER BY s, sentence_id) AS ids,
+                     ' ' || string_agg(sentence_id, ' ' ORDER BY s, sentence_id) || ' ' AS line FROM found GROUP BY ALL)
+        SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_sentences, coalesce(ids, '') AS sentence_ids,
                coalesce(array_to_string(list_sort(list_distinct(list_filter([{', '.join(names)}], lambda x: x IS NOT NULL))), ','), '') AS licenses
-        FROM documents LEFT JOIN l USING (doc_id)"""
+        FROM documents d LEFT JOIN l ON l.doc_id IS NOT DISTINCT FROM d.doc_id AND l.th IS NOT DISTINCT FROM hash(d.text)"""
 
 
 @query("op3_licenses", _license_sql())

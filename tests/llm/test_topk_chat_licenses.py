@@ -169,3 +169,31 @@ def test_wrapped_licenses(docs):
     assert got == {
         1: ("MIT", 2), 2: ("MIT", 2), 3: ("MIT", 2), 4: bsd, 5: bsd, 6: gpl, 7: gpl, 8: ("MPL-2.0", 1), 9: ("", 0), 10: ("CC0-1.0", 1), 11: ("MIT", 2),
         12: ("MIT", 1), 13: ("", 0), 14: ("", 0), 15: apache, 16: apache, 17: ("", 0), 18: ("MIT", 1), 19: ("BSD-3-Clause", 4), 20: ("", 0)}
+
+
+def test_license_sql_on_wrapped_texts(spark):
+    """The SQL of the query and the scan agree on wrapped, commented, cut and joined notices."""
+    import textwrap
+
+    import duckdb
+
+    from shortlist.llm.queries import SQL
+
+    rng = random.Random(12)
+    sentences = [*licenses.SENTENCES.values()]
+    rows = [(1, None), (2, ""), (3, "\n\n"), (None, sentences[0]), (None, sentences[1])]
+    for i in range(10, 160):
+        paragraphs = []
+        for _ in range(rng.randrange(1, 4)):
+            parts = [rng.choice(sentences) if rng.random() < 0.75 else rng.choice(["Some words here.", "Copyright 2020 é", "all rights", "MIT"]) for _ in range(rng.randrange(1, 5))]
+            body = rng.choice([" ", "  ", "\n"]).join(parts)
+            body = rng.choice([body, body.upper(), body.replace(",", ""), body[: rng.randrange(1, len(body))]])
+            mark = rng.choice(["", "# ", " * ", "// ", "rem ", "-- "])
+            paragraphs.append("\n".join(mark + x for x in textwrap.wrap(body, rng.choice([30, 72, 500]))))
+        rows.append((i, rng.choice(["\n\n", "\n", "\n#\n", " "]).join(paragraphs)))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = sorted(con.execute(f"SELECT doc_id, n_sentences, sentence_ids, licenses FROM ({SQL['op3_licenses']})").fetchall(), key=str)
+    got = sorted(map(tuple, licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == want and sum(r[1] > 0 for r in got) > 60
