@@ -268,14 +268,13 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     holds its runs of ``rule.shingle`` words; a shorter text is one run; null and empty texts have
     an empty set and are linked with nothing. Equal sets form a class, so copies are never paired
     with one another. Classes that share an index key are candidates; the first of a key is its
-    head. Each class is compared in full with the first of its heads, which joins most of a group
-    of near copies in one step however large it is. Only where the texts of a head are then in
-    different components, the others are compared with it too and joined on the differences from it
-    that they have in common, and the few texts that were too unlike their head to be compared are
-    taken pair by pair across components. component_id is the smallest doc_id reached, kept says
-    that it is the row's own. Rows of one doc_id with different texts are in the components of
-    their texts; repeated rows each get a row. A row without doc_id has no component and is kept.
-    Other columns of ``docs`` are not read.
+    head. Each class is compared in full with its heads, which joins a group of copies in one step
+    however large it is. Then texts of one such head in different components are joined on the
+    differences from it that they have in common, and the few texts that were too unlike their head
+    to be compared are taken pair by pair across components. component_id is the smallest doc_id
+    reached, kept says that it is the row's own. Rows of one doc_id with different texts are in the
+    components of their texts; repeated rows each get a row. A row without doc_id has no component
+    and is kept. Other columns of ``docs`` are not read.
     """
     signed = durable(signatures(docs, rule))
     some = signed.where("n_shingles > 0 and doc_id is not null")
@@ -293,18 +292,8 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         stars.join(_side(traits, "a"), "rep_a").join(_side(traits, "b"), "rep_b").where(_worth_confirming(rule))
         .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
     )
-    nearest = _against_heads(docs, reps, stars.groupBy("a").agg(F.min("b").alias("b")), rule)
-    direct = durable(nearest.where("linked").select("a", "b"))
-    early = durable(components(direct))
-    at = lambda s: early.select(F.col("node").alias(s), F.col("component").alias(f"in_{s}"))
-    located = stars.join(at("a"), "a", "left").join(at("b"), "b", "left").select("b", *[F.coalesce(f"in_{s}", s).alias(f"in_{s}") for s in "ab"])
-    mixed = located.groupBy("b").agg(F.min(F.least("in_a", "in_b")).alias("lo"), F.max(F.greatest("in_a", "in_b")).alias("hi"))
-    mixed = durable(mixed.where("lo < hi").select("b"))
-    others = durable(stars.join(mixed, "b", "left_semi").select("a", "b").join(nearest.select("a", "b"), ["a", "b"], "left_anti"))
-    further = _against_heads(docs, reps, others, rule)
-    apart = durable(nearest.join(mixed, "b", "left_semi").select(nearest.columns).unionByName(further))
-    known = durable(direct.unionAll(further.where("linked").select("a", "b")))
-    release(nearest, direct, early, mixed, others, further)
+    apart = _against_heads(docs, reps, stars, rule)
+    known = apart.where("linked").select("a", "b")
     placed = durable(components(known))
     links = durable(known.unionAll(_links_by_differences(apart, placed, rule)))
 
@@ -322,7 +311,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
     )
     final = durable(components(links.unionAll(_confirmed(docs, reps, rest, rule))))
-    release(shared, stars, apart, known, placed, links, rows, rest)
+    release(shared, stars, apart, placed, links, rows, rest)
 
     labelled = reps.join(final, F.col("rep") == F.col("node"), "left").select(
         "h1", "h2", "doc_id", F.coalesce("component", "rep").alias("component"))
