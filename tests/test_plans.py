@@ -260,3 +260,50 @@ def test_normalized_and_similarities(spark):
     ).first()
     assert r["n"] == [0.6, 0.8] and r["nz"] == [0.0, 0.0] and r["cz"] == 0.0 and r["az"] == 0.0
     assert (r["ab"], r["aab"], r["ac"], r["aac"]) == (1.0, 1.0, -1.0, 0.0)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("heavy", [[], [0]])
+def test_spread_join_broadcasts_neither_side(spark, log, heavy):
+    dim = spark.range(0, 30).withColumnRenamed("id", "user_idx")
+    few = spark.range(1).select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(99).cast("long"))).alias("user_idx"))  # grows unseen by the planner
+    for fact in (log, few):
+        assert "BroadcastHashJoin" not in plan_of(skew.spread_join(fact, dim, "user_idx", heavy=heavy))
+
+
+def test_heavy_keys_read_their_table_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    source = spark.range(100).select((F.col("id") % 3).alias("k")).mapInArrow(count, "k long")
+    assert sorted(skew.heavy_keys(source, "k", 0.1)) == [0, 1, 2]
+    assert read.value == 100
+
+
+def test_draws_meet_a_large_catalogue_without_counting_the_stream(spark, monkeypatch):
+    from shortlist.plans import draws
+
+    monkeypatch.setattr(draws, "is_small", lambda df: False)
+    monkeypatch.setattr(skew, "heavy_keys", lambda *a, **k: pytest.fail("the stream was counted"))
+    users = spark.createDataFrame([(1, 3), (2, 9)], "user_idx long, wanted long")
+    stream = draws._stream(users.select("user_idx", F.lit(1).cast("long").alias("_from"), F.lit(40).cast("long").alias("_upto")), 20, 5)
+    catalogue = spark.range(20).select((F.col("id") * 7).alias("item_idx"), F.col("id").alias("_number"), F.lit(1.0).alias("_weight"))
+    got = draws._met(stream, catalogue)
+    assert "BroadcastHashJoin" not in plan_of(got)
+    assert rows(got.select("user_idx", "draw", "item_idx")) == rows(stream.join(catalogue, "_number").select("user_idx", "draw", "item_idx"))
+
+
+def test_scores_of_random_lists_are_not_broadcast(spark, log):
+    from shortlist.operators.recommend import random_topk
+
+    users = log.select("user_idx").distinct()
+    items = spark.range(60).withColumnRenamed("id", "item_idx")
+    joins = [line for line in plan_of(random_topk(log, users, items, 5, 3)).splitlines() if "Join [" in line and "rank#" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
