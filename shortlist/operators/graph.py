@@ -34,8 +34,9 @@ def edges(log: DataFrame, users: DataFrame, items: DataFrame, ids: tuple[DataFra
     """Distinct edges (src, dst, w): w is the relevance summed over repeated rows."""
     pairs = log.groupBy("user_idx", "item_idx").agg(F.sum("relevance").cast("double").alias("w"))
     u, i = ids or node_ids(users, items)
-    out = lookup(pairs, u.withColumnRenamed("node", "src"), "user_idx", dim_rows=users)
-    out = lookup(out, i.withColumnRenamed("node", "dst"), "item_idx", dim_rows=items)
+    pairs = durable(pairs)  # read by the joins and for the heavy keys of both
+    out = lookup(pairs, u.withColumnRenamed("node", "src"), "user_idx", dim_rows=users, heavy_in=pairs)
+    out = lookup(out, i.withColumnRenamed("node", "dst"), "item_idx", dim_rows=items, heavy_in=pairs)
     return out.select("src", "dst", "w")
 
 
