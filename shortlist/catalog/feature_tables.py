@@ -10,6 +10,7 @@ from shortlist.operators import features as feat
 from shortlist.operators.sequences import Sequences
 from shortlist.plans.ordering import global_row_number, positions
 from shortlist.plans.topk import best_first
+from shortlist.session import durable
 from shortlist.operators import popularity as pop
 from shortlist.sources import tables as tb
 
@@ -96,7 +97,8 @@ def segment_category_features(spark, d):
     rows = tb.interactions(spark, d).select("user_idx", "item_idx", "relevance")
     rows = rows.join(users.select("user_idx", F.col("segment").alias("u_segment")), "user_idx")
     rows = rows.join(items.select("item_idx", F.col("category").alias("i_category")), "item_idx")
-    return _rounded(feat.segment_category_features(rows, users, items))
+    # stored: the statistics and the joins read it several times
+    return _rounded(feat.segment_category_features(durable(rows), users, items))
 
 
 _LEVELS = ["very_low", "low", "medium", "high", "very_high"]

@@ -528,3 +528,38 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     parts[2].write.mode("append").parquet(folder)
     every = parts[0].unionByName(parts[1]).unionByName(parts[2])
     assert rows(item_stats_stream(stream(), work)) == rows(pop.item_counts(every))
+
+
+def test_rows_of_tree_models_are_dealt_by_their_number(spark):
+    rows = spark.range(3000, numPartitions=2).withColumnRenamed("id", "user_idx")
+    few, many = md.dealt(rows, 1000), md.dealt(rows, 100)
+    sizes = [len(p) for p in many.rdd.glom().collect()]
+    assert few.rdd.getNumPartitions() == 2 and len(sizes) == 30 and max(sizes) <= 150 and sum(sizes) == 3000
+
+
+def test_feature_joins_take_heavy_keys_from_stored_rows(spark, monkeypatch):
+    """A chain of joins is not worked out again for every join's heavy keys."""
+    from shortlist.plans import skew
+
+    asked = []
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(skew, "is_small", lambda df, *a: False)
+    told = skew.heavy_keys
+    monkeypatch.setattr(skew, "heavy_keys", lambda df, *a: asked.append(df) or told(df, *a))
+    rows = [(u, (u * 7 + t) % 6, (u + t) % 2, "ab"[u % 2], "xyz"[(u * 7 + t) % 3]) for u in range(9) for t in range(8)]
+    df = md.durable(spark.createDataFrame(rows, "user_idx long, item_idx long, relevance long, u_segment string, i_category string"))
+    got = feat.segment_category_features(df)
+    assert asked and all("Join" not in a._jdf.queryExecution().executedPlan().toString() for a in asked)
+    log = spark.createDataFrame([r[:3] for r in rows], "user_idx long, item_idx long, relevance long")
+    users = spark.createDataFrame([(u, "ab"[u % 2]) for u in range(9)], "user_idx long, segment string")
+    items = spark.createDataFrame([(i, "xyz"[i % 3]) for i in range(6)], "item_idx long, category string")
+    asked.clear()
+    joined = feat.joined_features(log, users, items)
+    graph.edges(log, users, items)
+    wide = [a for a in asked if {"user_idx", "item_idx"} <= set(a.columns)]
+    assert wide and all("Join" not in a._jdf.queryExecution().executedPlan().toString() for a in wide)
+    assert got.count() == len(rows) and joined.count() == len(rows)
+    of = defaultdict(set)
+    for u, i, *_ in rows:
+        of[i].add("ab"[u % 2])
+    assert all(r.item_segments == len(of[r.item_idx]) for r in got.collect())
