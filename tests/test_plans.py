@@ -8,12 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from shortlist.functions import vectors as vec
+from shortlist.operators import recommend
 from shortlist.plans import ordering, skew
 from shortlist.plans.cell_topk import cell_topk
 from shortlist.plans.dominance import undominated
 from shortlist.plans.draws import sequential_draws
 from shortlist.plans.grouped_topk import grouped_vector_topk
-from shortlist.plans.topk import prefix_rows, prefix_topk, topk_per_user
+from shortlist.plans.topk import dealt_users, prefix_rows, prefix_topk, topk_per_user
 from shortlist.plans.vector_topk import vector_topk
 
 
@@ -307,3 +308,17 @@ def test_scores_of_random_lists_are_not_broadcast(spark, log):
     items = spark.range(60).withColumnRenamed("id", "item_idx")
     joins = [line for line in plan_of(random_topk(log, users, items, 5, 3)).splitlines() if "Join [" in line and "rank#" in line]
     assert joins and all("SortMergeJoin" in line for line in joins)
+
+
+def test_lists_of_many_users_are_dealt_over_many_tasks(spark, monkeypatch):
+    users = spark.range(4_000).select(F.col("id").alias("user_idx")).coalesce(1)
+    items = spark.range(30).select(F.col("id").alias("item_idx"), (F.col("id") % 7).cast("double").alias("relevance"))
+    monkeypatch.setattr(recommend, "LISTED_PER_TASK", 2_000)
+    assert dealt_users(users, 100).rdd.getNumPartitions() == 40
+    lists = prefix_topk(users, items, None, 3)
+    assert max(r[0] for r in lists.groupBy(F.spark_partition_id()).count().select("count").collect()) < 12_000 / 4
+    got = recommend.hybrid([lists, lists], items.select("item_idx"), 3)
+    sizes = [r[0] for r in got.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert sum(sizes) == 12_000 and max(sizes) <= 2 * 2_000
+    want = sorted([(i % 7, i) for i in range(30)], reverse=True)[:3]
+    assert {(r.item_idx, r.relevance, r["rank"]) for r in got.collect()} == {(i, float(s), n) for n, (s, i) in enumerate(want, 1)}
