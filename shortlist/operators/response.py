@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from shortlist.functions import vectors
 from shortlist.functions.randomness import normal, uniform
-from shortlist.plans.skew import lookup
+from shortlist.plans.skew import is_small, lookup
+from shortlist.session import durable
 
 ROW_KEY = ["user_idx", "item_idx"]
 NOISE_MEAN, NOISE_STD = 0.1, 0.05
@@ -23,8 +24,10 @@ NOISE_MEAN, NOISE_STD = 0.1, 0.05
 def with_features(recs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """Left joins of the user and item features onto (user, item, relevance[, rank])."""
     keep = [c for c in ("user_idx", "item_idx", "relevance", "rank") if c in recs.columns]
-    out = lookup(recs.select(*keep), users, "user_idx", "left")
-    return lookup(out, items, "item_idx", "left")
+    rows = durable(recs.select(*keep))  # heavy keys and the items listed are told from it
+    listed = items if is_small(items) else durable(items.join(rows.select("item_idx").distinct(), "item_idx", "left_semi"))
+    out = lookup(rows, users, "user_idx", "left", heavy_in=rows)
+    return lookup(out, listed, "item_idx", "left", heavy_in=rows)
 
 
 def constant(df: DataFrame, value: float = 0.0, output: str = "response") -> DataFrame:
