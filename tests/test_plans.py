@@ -15,7 +15,7 @@ from shortlist.plans.dominance import undominated
 from shortlist.plans.draws import sequential_draws
 from shortlist.plans.grouped_topk import grouped_vector_topk
 from shortlist.plans.topk import dealt_users, prefix_rows, prefix_topk, topk_per_user
-from shortlist.plans.vector_topk import vector_topk
+from shortlist.plans.vector_topk import Cells, vector_topk
 
 
 def rows(df):
@@ -186,6 +186,26 @@ def test_vector_topk_threshold_and_many_wanted(spark):
     assert {(r["user_idx"], r["item_idx"]) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("metric", ["dot", "euclidean"])
+def test_cells_are_ruled_out_by_what_counts_for_the_score(spark, metric):
+    """Items spread widest where the queries have next to nothing; the lists are those of scoring all."""
+    n = 400
+    rng = np.random.default_rng(8)
+    wide = rng.uniform(0, 1000, n) if metric == "dot" else rng.uniform(0, 1, n)
+    x = np.round(np.stack([wide, rng.uniform(0, 1, n), rng.uniform(0, 1, n)], axis=1), 3)
+    q = np.round(np.stack([np.full(40, 1e-6) if metric == "dot" else rng.uniform(0, 1, 40), rng.uniform(0.2, 1, 40), rng.uniform(0.2, 1, 40)], axis=1), 6)
+    items = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "item_idx long, vec array<double>")
+    queries = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(q)], "user_idx long, vec array<double>")
+    cells = Cells(items, "item_idx", "vec", metric, 10, 10, queries)
+    looked_at = cells.visit(queries.select(F.col("user_idx").alias("qid"), "vec", F.lit(3).cast("long").alias("need")), None)
+    assert len(cells.centers) == 40
+    assert looked_at.agg(F.avg(F.size("cells"))).first()[0] < 12
+    score = lambda a, b: float(a @ b) if metric == "dot" else -float(np.sqrt(((a - b) ** 2).sum()))
+    scores = {u: {i: round(score(q[u], x[i]), 9) for i in range(n)} for u in range(40)}
+    got = rows(vector_topk(queries, items, 3, metric, cell_items=10, block_items=10).select("user_idx", "item_idx", "score", "rank"))
+    assert [(u, i, r) for u, i, _, r in got] == [(u, i, r) for u, i, _, r in brute_topk(scores, set(), 3)]
+
+
 def test_grouped_vector_topk(spark):
     x, items = _vectors(spark, 60, 2, 5, "item_idx")
     q, queries = _vectors(spark, 30, 2, 6, "user_idx")
