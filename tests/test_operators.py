@@ -416,6 +416,17 @@ def test_knn_over_the_whole_catalogue(spark, whole, share):
     assert rows == _all_pairs(x, y, users, items, seen, 4, 3, whole)
 
 
+def test_knn_rounds_share_the_cells_of_the_training_rows(spark, monkeypatch):
+    built = []
+    first = rec.Cells.__init__
+    monkeypatch.setattr(rec.Cells, "__init__", lambda self, *args: built.append(1) or first(self, *args))
+    users = spark.createDataFrame([(1, [0.5]), (2, [0.1])], "user_idx long, vec array<double>")
+    items = spark.createDataFrame([(i, [i / 10]) for i in range(12)], "item_idx long, vec array<double>")
+    train = spark.createDataFrame([(i, [i / 9, i / 9], int(i == 0)) for i in range(9)], "row_id long, vec array<double>, label long")
+    assert rec.knn_catalogue(users, items, train, None, 3, 2, first=2).count() == 6
+    assert len(built) == 1  # three rounds
+
+
 def test_knn_without_training_rows_or_items(spark):
     users = spark.createDataFrame([(1, [0.5])], "user_idx long, vec array<double>")
     items = spark.createDataFrame([(1, [0.5])], "item_idx long, vec array<double>")
