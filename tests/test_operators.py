@@ -427,6 +427,26 @@ def test_knn_rounds_share_the_cells_of_the_training_rows(spark, monkeypatch):
     assert len(built) == 1  # three rounds
 
 
+def test_choose_neighbours_searches_once(spark, monkeypatch):
+    monkeypatch.setattr("shortlist.plans.skew.is_small", lambda df: False)  # as with many rows
+    found = spark.sparkContext.accumulator(0)
+
+    def counted(*args, **blocks):
+        near = rec.neighbours(*args, **blocks)
+
+        def count(batches):
+            for batch in batches:
+                found.add(batch.num_rows)
+                yield batch
+
+        return near.mapInArrow(count, near.schema)
+
+    monkeypatch.setattr(md, "neighbours", counted)
+    train = spark.createDataFrame([(i, [i / 7, i % 5 / 5], i % 2) for i in range(60)], "row_id long, vec array<double>, label int")
+    assert md.choose_neighbours(train, ns=(3, 5), folds=3).count() == 2
+    assert found.value == 60 * 5
+
+
 def test_knn_without_training_rows_or_items(spark):
     users = spark.createDataFrame([(1, [0.5])], "user_idx long, vec array<double>")
     items = spark.createDataFrame([(1, [0.5])], "item_idx long, vec array<double>")
