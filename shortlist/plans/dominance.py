@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shortlist.plans.topk import topk_per_user
+from shortlist.session import durable, release
 
 BINS = 256
 
@@ -37,3 +38,22 @@ def undominated(items: DataFrame, x: str, y: str, k: int, bins: int = BINS) -> D
             heapq.heappush(top, value) if len(top) < k else heapq.heappushpop(top, value)
     bar = F.element_at(F.array(*[F.lit(bars.get(b, float("-inf"))) for b in range(len(edges) + 1)]), F.col("_bin") + 1)
     return binned.filter(F.col(y) >= bar).drop("_bin")
+
+
+def contenders(items: DataFrame, x: str, y: str, k: int, item: str = "item_idx", bins: int = BINS) -> DataFrame:
+    """Items that can be among the k best when equal scores go to the larger ``item``.
+
+    Of items with one ``x`` only the k best by ``y`` can. Of the rest, :func:`undominated` always
+    keeps the whole highest bin, a fixed share of the items, so it is repeated on what it leaves
+    until that hardly shrinks.
+    """
+    first = topk_per_user(items.filter(F.col(x).isNotNull()), k, x, [F.col(y).desc(), F.col(item).desc()])
+    left = durable(first.drop("rank"))
+    n = left.count()
+    while n > k:
+        fewer = durable(undominated(left, x, y, k, bins))
+        release(left)
+        left, before, n = fewer, n, fewer.count()
+        if 2 * n > before:
+            break
+    return left

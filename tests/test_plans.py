@@ -11,7 +11,7 @@ from shortlist.functions import vectors as vec
 from shortlist.operators import recommend
 from shortlist.plans import ordering, skew
 from shortlist.plans.cell_topk import cell_topk
-from shortlist.plans.dominance import undominated
+from shortlist.plans.dominance import contenders, undominated
 from shortlist.plans.draws import sequential_draws
 from shortlist.plans.grouped_topk import grouped_vector_topk
 from shortlist.plans.topk import dealt_users, prefix_rows, prefix_topk, topk_per_user
@@ -245,6 +245,21 @@ def test_dominance_keeps_every_possible_winner(spark):
     assert len(kept) < 400
 
 
+def test_contenders_hold_all_lists_and_do_not_grow_with_the_items(spark):
+    rng = np.random.default_rng(1)
+    points = np.round(rng.normal(size=(300, 2)), 1)
+    score = lambda q, a, b: round((1 / (1 + np.exp(-(q + a)))) * b, 9)
+    sizes = []
+    for copies in (1, 30):  # equal points with other keys
+        data = [(i, float(a), float(abs(b)) + 0.1) for i, (a, b) in enumerate(np.tile(points, (copies, 1)))]
+        kept = [tuple(r) for r in contenders(spark.createDataFrame(data, "i long, x double, y double"), "x", "y", 3, "i", bins=8).collect()]
+        best = lambda rows, q: sorted(((score(q, a, b), i) for i, a, b in rows), reverse=True)[:3]
+        for q in (-3.0, -0.5, 0.0, 2.0):
+            assert best(kept, q) == best(data, q)
+        sizes.append(len(kept))
+    assert sizes[1] <= 2 * sizes[0]
+
+
 def test_sequential_draws(spark, log, hot_log):
     items = spark.range(60).select(F.col("id").alias("item_idx"), (F.col("id") % 4 + 1.0).alias("w"))
     users = spark.createDataFrame([(u, 1 + u % 5, 0) for u in range(40)] + [(40, 60, 0), (41, 45, 0)], "user_idx long, wanted long, taken long")
