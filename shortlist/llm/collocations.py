@@ -24,7 +24,8 @@ MOST_CELLS = 1 << 27  # of the table of stops: 128 MB, whatever the input
 CELLS_PER_DOCUMENT = 64
 CHECK = np.uint64(0xFFFFFFFF)
 SUMS = "key long, n long, check long, home long"
-FLUSH = 2_000_000  # phrases that a task holds before it sums them up
+FLUSH = 1_000_000  # phrases that a task holds before it sums them up
+BATCH = 1 << 18  # sums that leave a task at once; the executor holds a batch outside its heap
 
 WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 BREAK = np.zeros(256, bool)
@@ -72,17 +73,29 @@ def _stops(cells: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return cells[bloom.places_of_ids((hashes >> np.uint64(8)).view(np.int64), len(cells))].max(axis=1)
 
 
-def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    """(key, n, check, home): occurrences, the sum of their second hashes modulo 2^32, and the first text that has one."""
-    keys, two, homes = (np.concatenate(x) for x in zip(*parts))
-    order = np.argsort(keys)
-    keys = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    n = np.diff(np.append(first, len(keys)))
-    check = np.add.reduceat(two[order], first) & CHECK if len(keys) else two
-    home = np.minimum.reduceat(homes[order], first) if len(keys) else homes
-    columns = [keys[first].view(np.int64), n, check.view(np.int64), home]
-    return pa.record_batch([pa.array(c) for c in columns], names=["key", "n", "check", "home"])
+def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """(key, n, check, home): occurrences, the sum of their second hashes modulo 2^32, and the first text that has one.
+    Empties ``parts``, and joins and orders one column at a time, as a task has little memory beside its executor's heap."""
+    keys, two, homes = map(list, zip(*parts))
+    parts.clear()
+    key = _drained(keys)
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    n = np.diff(np.append(first, len(key)))
+    key = key[first]
+    check = np.add.reduceat(_drained(two)[order], first) & CHECK if len(key) else np.zeros(0, np.uint64)
+    home = np.minimum.reduceat(_drained(homes)[order], first) if len(key) else np.zeros(0, np.int64)
+    del order, first
+    for at in range(0, len(key), BATCH):
+        columns = [c[at : at + BATCH] for c in (key.view(np.int64), n, check.view(np.int64), home)]
+        yield pa.record_batch([pa.array(c) for c in columns], names=["key", "n", "check", "home"])
+
+
+def _drained(arrays: list[np.ndarray]) -> np.ndarray:
+    out = np.concatenate(arrays)
+    arrays.clear()
+    return out
 
 
 def _occurrences(step: int, shards: int, max_words: int, held):
@@ -120,10 +133,9 @@ def _occurrences(step: int, shards: int, max_words: int, held):
                         if k < max_words:  # a shared cell must not date a phrase before its own activation
                             reached[at] = np.maximum(_stops(cells, hashes[at]), since)
                 if sum(len(p[0]) for p in parts) >= FLUSH:
-                    yield _summed(parts)
-                    parts = []
+                    yield from _summed(parts)
         if parts:
-            yield _summed(parts)
+            yield from _summed(parts)
 
     return scan
 
