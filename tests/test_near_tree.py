@@ -22,7 +22,7 @@ def test_neighbours_in_many_regions(spark, metric, dims, n):
     x, q = np.round(rng.normal(size=(1500, dims)), 1), np.round(rng.normal(size=(60, dims)), 1)
     x[:200] = x[0]
     ids = [f"{i:04d}" for i in range(1500)]
-    train = durable(spark.createDataFrame([(i, [float(c) for c in v], 1) for i, v in zip(ids, x)], "row_id string, vec array<double>, label int"))
+    train = durable(spark.createDataFrame([(i, [float(c) for c in v], 1) for i, v in zip(ids, x)] + [("none", [None] * dims, 1)], "row_id string, vec array<double>, label int"))
     queries = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(q)] + [(98, None), (99, [None] * dims)], "qid int, vec array<double>")
     cells = rec.neighbour_cells(train, metric, cell_items=1)
     assert (cells.tree.child < 0).sum() > 8
