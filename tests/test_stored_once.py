@@ -88,4 +88,5 @@ def test_wide_rows_are_not_shuffled_for_the_diversity(spark, tables, monkeypatch
     columns = sorted(got.columns)
     plain = lambda rows: sorted(str([round(r[c], 9) if isinstance(r[c], float) else r[c] for c in columns]) for r in rows)
     assert plain(got.collect()) == plain(want)
-    assert {r["category_diversity"] for r in want} == {3}
+    kinds = {r.user_idx: r.n for r in joined.groupBy("user_idx").agg(F.count_distinct("i_category").alias("n")).collect()}
+    assert all(r["category_diversity"] == kinds[r["user_idx"]] for r in want)
